@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing
+from . import exact_dedup, jaccard_join, packing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_best_fit_packing": packing.op4_best_fit_packing,
+        "op7_ngram_jaccard_join": jaccard_join.op7_ngram_jaccard_join,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op7_ngram_jaccard_join": jaccard_join.OP7_SQL,
         "op8_exact_dedup": exact_dedup.OP8_SQL,
     }
