@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, jaccard_join, packing
+from . import exact_dedup, jaccard_join, language_id, packing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_id": language_id.op1_language_id,
         "op4_best_fit_packing": packing.op4_best_fit_packing,
         "op7_ngram_jaccard_join": jaccard_join.op7_ngram_jaccard_join,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
