@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, jaccard_join, language_id, packing
+from . import exact_dedup, jaccard_join, language_id, packing, secret_scan
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": language_id.op1_language_id,
         "op4_best_fit_packing": packing.op4_best_fit_packing,
+        "op5_secret_scan": secret_scan.op5_secret_scan,
         "op7_ngram_jaccard_join": jaccard_join.op7_ngram_jaccard_join,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     }
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_secret_scan": secret_scan.op5_secret_scan,
         "op7_ngram_jaccard_join": jaccard_join.OP7_SQL,
         "op8_exact_dedup": exact_dedup.OP8_SQL,
     }
