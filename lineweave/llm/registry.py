@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, jaccard_join, language_id, packing, secret_scan
+from . import embedding_dedup, exact_dedup, jaccard_join, language_id, packing, secret_scan
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_secret_scan": secret_scan.op5_secret_scan,
         "op7_ngram_jaccard_join": jaccard_join.op7_ngram_jaccard_join,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+        "op10_embedding_near_dedup": embedding_dedup.op10_embedding_near_dedup,
     }
 
 
@@ -24,4 +25,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_secret_scan": secret_scan.op5_secret_scan,
         "op7_ngram_jaccard_join": jaccard_join.OP7_SQL,
         "op8_exact_dedup": exact_dedup.OP8_SQL,
+        "op10_embedding_near_dedup": embedding_dedup.OP10_SQL,
     }
