@@ -21,7 +21,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +31,7 @@ from .shared import components, publish, table
 
 #: Least cosine of a link; rotations; blocks of a product code; vectors that share a filter by chance; shared filters that a pair at
 #: the least cosine should have; rows of a block of a large filter.
-COSINE, ROTATIONS, BLOCKS, PER_FILTER, SHARED, BLOCK = 0.93, 4, 4, 4, 5.0, 1024
+COSINE, ROTATIONS, BLOCKS, PER_FILTER, SHARED, BLOCK = 0.93, 16, 2, 8, 14.0, 1024
 
 
 @dataclass(frozen=True)
@@ -58,16 +57,26 @@ def _parts(dim: int, words: int) -> tuple[np.ndarray, np.ndarray]:
     return turn, code
 
 
+def _tail(dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(s, P(inner product of two random unit vectors >= s)) on a grid that is fine near 1."""
+    angle = np.linspace(0, np.pi, 40_001)
+    density = np.sin(angle) ** (dim - 2) if dim > 1 else np.ones_like(angle)
+    mass = np.concatenate([[0], np.cumsum((density[1:] + density[:-1]) / 2)])
+    return np.cos(angle), mass / mass[-1]
+
+
 def design(n: int, dim: int, cosine: float = COSINE, per_filter: float = PER_FILTER, shared: float = SHARED) -> Code:
-    """Code for about n vectors of a label: P(pass) = per_filter / n, and enough filters that near pairs share `shared` of them."""
-    normal = NormalDist()
+    """Code for about n vectors of a label: P(pass) = per_filter / n, and enough filters that pairs at the cosine share `shared` of them."""
+    s, above = _tail(dim)
     p = min(0.02, per_filter / max(n, 1))
-    tau = normal.inv_cdf(1 - p)
-    z = np.linspace(tau, tau + 6, 4000)
-    density = np.exp(-z * z / 2) / np.sqrt(2 * np.pi)
-    both = float(np.trapezoid(density * np.array([1 - normal.cdf((tau - cosine * x) / np.sqrt(1 - cosine**2)) for x in z]), z))
+    cap = float(np.interp(p, above, s))
+    rest, rest_above = _tail(max(dim - 1, 2))
+    inner = s[s >= cap]  # of a direction with one vector that passes; the other's follows from it and a random rest
+    mass = np.diff(above[: len(inner)], prepend=0.0)
+    need = (cap - cosine * inner) / np.maximum(np.sqrt((1 - cosine**2) * (1 - inner**2)), 1e-12)
+    both = float((mass * np.interp(np.clip(need, -1, 1), rest[::-1], rest_above[::-1])).sum())
     words = int(np.ceil((shared / both / ROTATIONS) ** (1 / BLOCKS)))
-    return Code(dim, max(2, words), tau / np.sqrt(dim))
+    return Code(dim, max(2, words), cap)
 
 
 def decode(x: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
