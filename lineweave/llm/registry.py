@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, exact_dedup, jaccard_join, language_id, packing, secret_scan
+from . import embedding_dedup, exact_dedup, jaccard_join, language_id, packing, secret_scan, warc_index
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_id": language_id.op1_language_id,
         "op4_best_fit_packing": packing.op4_best_fit_packing,
         "op5_secret_scan": secret_scan.op5_secret_scan,
+        "op6_warc_index": warc_index.op6_warc_index,
         "op7_ngram_jaccard_join": jaccard_join.op7_ngram_jaccard_join,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
         "op10_embedding_near_dedup": embedding_dedup.op10_embedding_near_dedup,
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_secret_scan": secret_scan.op5_secret_scan,
+        "op6_warc_index": warc_index.OP6_SQL,
         "op7_ngram_jaccard_join": jaccard_join.OP7_SQL,
         "op8_exact_dedup": exact_dedup.OP8_SQL,
         "op10_embedding_near_dedup": embedding_dedup.OP10_SQL,
