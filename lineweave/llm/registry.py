@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, exact_dedup, jaccard_join, language_id, packing, secret_scan, warc_index
+from . import embedding_dedup, exact_dedup, jaccard_join, language_id, packing, quality, secret_scan, warc_index
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": language_id.op1_language_id,
+        "op2_quality_classifier": quality.op2_quality_classifier,
         "op4_best_fit_packing": packing.op4_best_fit_packing,
         "op5_secret_scan": secret_scan.op5_secret_scan,
         "op6_warc_index": warc_index.op6_warc_index,
