@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, exact_dedup, jaccard_join, language_id, packing, quality, secret_scan, warc_index
+from . import embedding_dedup, exact_dedup, jaccard_join, language_id, mixing, packing, quality, secret_scan, warc_index
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_warc_index": warc_index.op6_warc_index,
         "op7_ngram_jaccard_join": jaccard_join.op7_ngram_jaccard_join,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+        "op9_source_mixing": mixing.op9_source_mixing,
         "op10_embedding_near_dedup": embedding_dedup.op10_embedding_near_dedup,
     }
 
@@ -28,5 +29,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_warc_index": warc_index.OP6_SQL,
         "op7_ngram_jaccard_join": jaccard_join.OP7_SQL,
         "op8_exact_dedup": exact_dedup.OP8_SQL,
+        "op9_source_mixing": mixing.OP9_SQL,
         "op10_embedding_near_dedup": embedding_dedup.OP10_SQL,
     }
