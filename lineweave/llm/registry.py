@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, exact_dedup, jaccard_join, language_id, mixing, packing, quality, secret_scan, warc_index
+from . import embedding_dedup, exact_dedup, jaccard_join, language_id, line_dedup, mixing, packing, quality, secret_scan, warc_index
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": language_id.op1_language_id,
         "op2_quality_classifier": quality.op2_quality_classifier,
+        "op3_line_dedup": line_dedup.op3_line_dedup,
         "op4_best_fit_packing": packing.op4_best_fit_packing,
         "op5_secret_scan": secret_scan.op5_secret_scan,
         "op6_warc_index": warc_index.op6_warc_index,
@@ -26,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_secret_scan": secret_scan.op5_secret_scan,
+        "op3_line_dedup": line_dedup.OP3_SQL,
         "op6_warc_index": warc_index.OP6_SQL,
         "op7_ngram_jaccard_join": jaccard_join.OP7_SQL,
         "op8_exact_dedup": exact_dedup.OP8_SQL,
