@@ -200,6 +200,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     return rows.mapInArrow(_pack(capacity, most_open, vocabulary), f"id {kind}, piece int, start long, length long, ids binary, sequence_id long, offset long")
 
 
+def packed_rows(docs: DataFrame) -> DataFrame:
+    """Pieces with a checksum in place of their ids."""
+    return pack(docs).select(F.col("id").alias("doc_id"), "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 ids."""
-    return pack(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    return packed_rows(table(spark, sf_dir, "documents"))
