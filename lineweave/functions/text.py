@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 HE = r"֐-׿"
 PAIR = r"\d+\s*[/\\-]\s*\d+"
@@ -28,7 +29,7 @@ FINALS, BASES = "ךםןףץ", "כמנפצ"
 SCANNER = rf"""(\s+|{PAIR}|[{HE}]+(?:[-־][{HE}]+)*|[a-zA-Z]+(?:-[a-zA-Z]+)*|\d+(?:\.\d+)?|mm|°|cm|%|[.,;:!?()\[\]{{}}״"'`]|[\s\S])"""
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _compose(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
 

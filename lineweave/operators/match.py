@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..sources.durable import stored
 
 #: Bands of fuzzy scores, score of phonetic matches, words of a window at most.
 FUZZY_LOW, FUZZY_HIGH, SHORT_LOW, SHORT_HIGH, PHONETIC, NGRAM_MAX = 0.70, 0.85, 0.65, 0.88, 0.83, 5
@@ -154,19 +155,20 @@ def priors(matches: DataFrame, tokens: DataFrame, keys: list[str]) -> DataFrame:
 
 def gazetteer(tokens: DataFrame, surfaces: DataFrame, keys: list[str]) -> DataFrame:
     """All lexical matches: (keys, mention_id, s, e, idxs, seq, iri, label, match_type, score_lex, iri_source, hints, score_prior)."""
+    tokens, surfaces = stored(tokens, "tokens"), stored(surfaces, "surfaces")
     w = words(tokens)
-    got = exact(w, surfaces)
+    got = stored(exact(w, surfaces), "exact")
     left = w.join(got.select(*keys, "idx").distinct(), [*keys, "idx"], "left_anti")
-    near = fuzzy(left, surfaces)
+    near = stored(fuzzy(left, surfaces), "fuzzy")
     left = left.join(near.select(*keys, "idx").distinct(), [*keys, "idx"], "left_anti")
     sound = phonetic(left, surfaces)
-    single = got.unionByName(near).unionByName(sound)
+    single = stored(got.unionByName(near).unionByName(sound).select(*keys, "idx", "s", "e", *_META), "single")
     one = single.select(*keys, "s", "e", F.array("idx").alias("idxs"), *_META, F.lit(0).alias("pass"))
-    chunked = chunks(tokens, single, keys)
-    inside = window_matches(chunked, surfaces, keys)
+    chunked = stored(chunks(tokens, single, keys), "chunks")
+    inside = stored(window_matches(chunked, surfaces, keys), "inside")
     rest = chunked.join(inside.select(*keys, "run", "chunk"), [*keys, "run", "chunk"], "left_anti")
     many = inside.select(*keys, "s", "e", "idxs", *_META).unionByName(window_fuzzy(rest, surfaces).select(*keys, "s", "e", "idxs", *_META)).withColumn("pass", F.lit(1))
-    hits = first_by_span(drop_placeholders(one.unionByName(many), keys), keys).drop("pass")
+    hits = stored(first_by_span(drop_placeholders(one.unionByName(many), keys), keys).drop("pass"), "hits")
     hits = priors(without_numbers(hits, tokens, keys), tokens, keys)
     mention = F.concat_ws("_", F.concat(F.lit("m"), F.concat_ws(".", *keys)), "s", "e")
     return hits.withColumns({"mention_id": mention, "hints": hints(F.col("label"))})
