@@ -110,14 +110,14 @@ def survivors(lines: DataFrame, after: str) -> DataFrame:
 
 def clean_terms(terms: Column) -> Column:
     """Terms without digits, trimmed, the first of those equal but for case."""
-    kept = F.filter(F.transform(terms, F.trim), lambda t: (t != "") & ~t.rlike(r"\d"))
-    lower = F.transform(kept, F.lower)
+    kept = F.filter(F.transform(terms, lambda t: F.trim(t)), lambda t: (t != "") & ~t.rlike(r"\d"))
+    lower = F.transform(kept, lambda t: F.lower(t))
     return F.filter(kept, lambda t, i: F.array_position(lower, F.lower(t)) == i + 1)
 
 
 def guard_terms(terms: Column, most: int = 3) -> Column:
     """The first `most` terms that start with a letter and have letters, spaces and hyphens only, 49 characters at most."""
-    fine = F.filter(F.transform(terms, F.trim), lambda t: t.rlike(r"^[A-Za-z][A-Za-z \-]{0,48}$"))
+    fine = F.filter(F.transform(terms, lambda t: F.trim(t)), lambda t: t.rlike(r"^[A-Za-z][A-Za-z \-]{0,48}$"))
     return F.slice(F.transform(fine, lambda t: F.regexp_replace(t, r"\s+", " ")), 1, most)
 
 

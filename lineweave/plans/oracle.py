@@ -1,2 +1,241 @@
-"""SQL."""
-SQL = {}
+"""DuckDB SQL for the catalog's queries, written from the definitions and not from the plans."""
+
+from __future__ import annotations
+
+HE = r"\x{0590}-\x{05FF}"
+PAIR = r"\d+\s*[/\\-]\s*\d+"
+SCAN = rf"""(\s+|{PAIR}|[{HE}]+(?:[-\x{{05BE}}][{HE}]+)*|[a-zA-Z]+(?:-[a-zA-Z]+)*|\d+(?:\.\d+)?|mm|°|cm|%|[.,;:!?()\[\]{{}}\x{{05F4}}"''`]|[\s\S])"""
+WORDS = "אבגדהוזחטיכלמנסעפצקרשתםןףץ"
+
+LINES = r"""
+lines AS (
+  SELECT * FROM (SELECT doc_id, CAST(unnest(generate_series(0, len(p) - 1)) AS INTEGER) AS line_no, regexp_replace(unnest(p), '^\s+|\s+$', '', 'g') AS raw_text
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents)) WHERE raw_text <> ''
+)"""
+NOTES = f"""
+notes AS (
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d')) AS key,
+    translate(split_part(p_name, ' ', 2), 'abcdefghijklmnopqrstuvwxyz', '{WORDS}') || p_size || ' ' || l_linenumber || '/' || CAST(l_quantity AS INTEGER) || ' ' || p_size || 'ממ' AS raw_text, l_linenumber, p_size
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+)"""
+ALL = f"""{LINES}, {NOTES},
+al AS (SELECT concat_ws('.', 'd', doc_id, line_no) AS key, raw_text FROM lines UNION ALL SELECT key, raw_text FROM notes)"""
+#: Spacing, then units: s1 to s4 after each step, u after units, t without white space at the end.
+STEPS = rf"""
+s1 AS (SELECT *, regexp_replace(r0, '([{HE}])(\d)', '\1 \2', 'g') AS s1 FROM (SELECT key, raw_text, nfc_normalize(raw_text) AS r0 FROM al)),
+s2 AS (SELECT *, regexp_replace(s1, '(\d)([{HE}])', '\1 \2', 'g') AS s2 FROM s1),
+s3 AS (SELECT *, regexp_replace(s2, '([a-zA-Z])(\d)', '\1 \2', 'g') AS s3 FROM s2),
+s4 AS (SELECT *, regexp_replace(s3, '(\d)([a-zA-Z])', '\1 \2', 'g') AS s4 FROM s3),
+un AS (SELECT *, replace(replace(replace(replace(replace(s4, 'ממ', 'mm'), 'מ"מ', 'mm'), 'מילימטר', 'mm'), 'millimeter', 'mm'), 'מעלות', '°') AS u FROM s4),
+n0 AS (SELECT *, regexp_replace(u, '\s+$', '') AS t FROM un)"""
+
+
+def scan(source: str, keys: str, text: str) -> str:
+    """CTE tok: tokens with spans of the rows of source."""
+    return rf"""
+pc AS (SELECT {keys}, unnest(m) AS text, unnest(generate_series(0, len(m) - 1)) AS n FROM (SELECT {keys}, regexp_extract_all({text}, '{SCAN}') AS m FROM {source}) WHERE len(m) > 0),
+sp AS (SELECT *, sum(length(text)) OVER w AS e, sum(CASE WHEN regexp_matches(text, '^\s') THEN 0 ELSE 1 END) OVER w - 1 AS idx FROM pc WINDOW w AS (PARTITION BY {keys} ORDER BY n ROWS UNBOUNDED PRECEDING)),
+tok AS (SELECT {keys}, CAST(idx AS INTEGER) AS idx, text, CAST(e - length(text) AS INTEGER) AS s, CAST(e AS INTEGER) AS e,
+  CASE WHEN regexp_full_match(text, '{PAIR}') THEN 'pair' WHEN text IN ('mm', 'cm', '°', '%') THEN 'unit' WHEN text SIMILAR TO '\d.*' THEN 'number' WHEN regexp_full_match(text, '[.,;:!?()\[\]{{}}"''`]') THEN 'punct' ELSE 'word' END AS kind,
+  CASE WHEN regexp_matches(text, '^\d') THEN 'digit' WHEN regexp_matches(text, '^[{HE}]') THEN 'he' WHEN regexp_matches(text, '^[a-zA-Z]') THEN 'en' WHEN text IN ('°', '%') OR regexp_full_match(text, '[.,;:!?()\[\]{{}}"''`]') THEN NULL ELSE 'mixed' END AS script
+  FROM sp WHERE NOT regexp_matches(text, '^\s'))"""
+
+
+TALK = scan("conversations", "conv_id, turn", "text")
+ENTRIES = """
+ent AS (
+  SELECT row_number() OVER (ORDER BY label) - 1 AS seq, 'W:' || label AS iri, label, CASE WHEN length(label) % 3 = 0 THEN [reverse(label)] ELSE [] END AS synonyms FROM (
+    SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS label FROM benchmark
+    UNION SELECT DISTINCT lower(regexp_extract(text, '^([A-Za-z]+ [A-Za-z]+)', 1)) FROM benchmark WHERE regexp_matches(text, '^[A-Za-z]+ [A-Za-z]+'))
+),
+srf AS (
+  SELECT surface, iri, label, match_type, score_lex, seq FROM (
+    SELECT *, row_number() OVER (PARTITION BY surface ORDER BY CASE match_type WHEN 'label' THEN 1 ELSE 2 END, seq) AS rn FROM (
+      SELECT label AS surface, iri, label, 'label' AS match_type, 1.0::DOUBLE AS score_lex, seq * 1000 AS seq FROM ent
+      UNION ALL SELECT synonyms[1], iri, label, 'synonym', 0.9, seq * 1000 + 1 FROM ent WHERE len(synonyms) > 0)) WHERE rn = 1
+)"""
+WORD = r"""wd AS (SELECT *, regexp_replace(lower(text), '\s+', ' ', 'g') AS norm FROM tok WHERE kind = 'word')"""
+TRIPLES = """
+tri AS (
+  SELECT 'R:' || r_regionkey AS subj, 'label' AS pred, array_to_string(list_transform(string_split(r_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS obj, 'en' AS lang, true AS literal FROM region
+  UNION ALL SELECT 'R:' || r_regionkey, 'type', 'Region', NULL, false FROM region
+  UNION ALL SELECT 'R:' || r_regionkey, 'definition', 'region ' || lower(r_name), NULL, true FROM region
+  UNION ALL SELECT 'N:' || n_nationkey, 'label', n_name, 'fr', true FROM nation
+  UNION ALL SELECT 'N:' || n_nationkey, 'label', lower(n_name), 'de', true FROM nation
+  UNION ALL SELECT 'N:' || n_nationkey, 'synonym', replace(n_name, '_', ' '), NULL, true FROM nation
+  UNION ALL SELECT 'N:' || n_nationkey, 'type', 'Nation', NULL, false FROM nation
+  UNION ALL SELECT 'N:' || n_nationkey, 'part_of', 'R:' || n_regionkey, NULL, false FROM nation
+  UNION ALL SELECT 'P:' || p_partkey, 'label', p_name, 'en', true FROM part
+  UNION ALL SELECT 'P:' || p_partkey, 'label', upper(p_name), 'en', true FROM part
+  UNION ALL SELECT 'P:' || p_partkey, 'synonym', p_name || ' ' || lower(p_type), NULL, true FROM part
+  UNION ALL SELECT 'P:' || p_partkey, 'type', p_type, NULL, false FROM part
+  UNION ALL SELECT 'P:' || p_partkey, 'brand', p_brand, NULL, true FROM part
+),
+lex AS (
+  SELECT subj AS iri, label, list_sort(list_distinct(list_filter(alls, lambda x: x <> label) || syn)) AS synonyms, coalesce(definition, '') AS definition FROM (
+    SELECT subj, arg_min(obj, (CASE WHEN lang = 'en' THEN 0 ELSE 1 END, coalesce(lang, 'und'), obj)) FILTER (pred = 'label') AS label,
+      list(obj) FILTER (pred = 'label') AS alls, coalesce(list(obj) FILTER (pred = 'synonym'), []) AS syn, min(obj) FILTER (pred = 'definition') AS definition
+    FROM tri GROUP BY subj) WHERE label IS NOT NULL
+)"""
+RANKED = """
+li AS (
+  SELECT l.*, p_name FROM (SELECT l_orderkey, l_linenumber, max(l_partkey) AS l_partkey, max(l_suppkey) AS l_suppkey, max(l_quantity) AS l_quantity, max(l_discount) AS l_discount, max(l_tax) AS l_tax FROM lineitem GROUP BY ALL) l JOIN part ON l_partkey = p_partkey
+),
+men AS (SELECT l_orderkey AS line_id, 'm' || l_linenumber AS mention_id, p_name AS surface, l_linenumber * 20 AS s, l_linenumber * 20 + length(p_name) AS e FROM li),
+lexc AS (
+  SELECT l_orderkey AS line_id, 'm' || l_linenumber AS mention_id, CASE l_partkey % 3 WHEN 0 THEN 'http://purl.obolibrary.org/obo/OHD_' WHEN 1 THEN 'http://purl.obolibrary.org/obo/FMA_' ELSE 'DEVICE:' END || (l_partkey % 40) AS iri,
+    p_name AS label, round(1.0 - l_discount * 2, 2) AS score_lex, l_tax AS score_prior, CASE l_suppkey % 4 WHEN 0 THEN 'ohd_label' WHEN 1 THEN 'ohd_synonym' WHEN 2 THEN 'alias_only' ELSE 'resolved_alias' END AS iri_source, l_partkey, l_suppkey, l_quantity, l_linenumber FROM li
+),
+vec AS (
+  SELECT line_id, 'v' || l_linenumber AS vec_id, CASE WHEN l_suppkey % 5 = 0 THEN 'zzz' ELSE split_part(label, ' ', CAST(l_suppkey % 2 + 1 AS INTEGER)) END AS surface,
+    CASE WHEN l_suppkey % 10 = 0 THEN 0 ELSE l_linenumber * 20 + 7 END AS s, CASE WHEN l_suppkey % 10 = 0 THEN 0 ELSE l_linenumber * 20 + 12 END AS e, l_partkey, l_quantity, iri FROM lexc
+),
+cnd AS (
+  SELECT line_id, vec_id, CASE WHEN n = 0 THEN iri ELSE 'http://purl.obolibrary.org/obo/OHD_' || ((l_partkey + n * 7) % 40) END AS iri, round(((l_quantity + n * 13) % 50) / 50, 2) AS score_vec, n FROM vec, (SELECT unnest([0, 1, 2]) AS n)
+),
+att AS (
+  SELECT line_id, vec_id, arg_min(mention_id, (s, mention_id)) AS mention_id FROM (SELECT v.line_id, v.vec_id, m.mention_id, m.s FROM vec v JOIN men m ON v.line_id = m.line_id AND contains(lower(m.surface), lower(v.surface))) GROUP BY ALL
+),
+vc AS (SELECT c.line_id, a.mention_id, c.iri, max(score_vec) AS score_vec, min(n) AS vseq FROM cnd c JOIN att a USING (line_id, vec_id) GROUP BY ALL),
+mer AS (
+  SELECT line_id, mention_id, iri, coalesce(score_lex, 0) AS score_lex, score_vec, coalesce(score_prior, 0) AS score_prior, iri_source, coalesce(CASE WHEN label IS NOT NULL THEN 0 END, vseq + 1000000000000) AS seq FROM lexc FULL JOIN vc USING (line_id, mention_id, iri)
+),
+nrm AS (
+  SELECT *, CASE WHEN score_vec > 0 AND max(score_vec) OVER w > min(score_vec) OVER w THEN (score_vec - min(score_vec) OVER w) / (max(score_vec) OVER w - min(score_vec) OVER w) ELSE 0 END AS norm_vec FROM mer WINDOW w AS (PARTITION BY line_id, mention_id)
+)"""
+SCORED = """
+raw AS (SELECT *, CASE WHEN norm_vec > 0 THEN (0.6 * score_lex + 0.3 * norm_vec) / 0.9 ELSE score_lex END AS raw FROM nrm),
+cut AS (SELECT *, CASE WHEN iri_source IN ('alias_only', 'placeholder') THEN greatest(0, raw - 0.1) ELSE raw END AS cut FROM raw),
+sco AS (SELECT *, CASE WHEN norm_vec > 0 AND iri LIKE 'http://purl.obolibrary.org/obo/OHD\\_%' ESCAPE '\\' THEN cut + 0.05 WHEN norm_vec > 0 AND iri LIKE 'http://purl.obolibrary.org/obo/FMA\\_%' ESCAPE '\\' THEN greatest(0, cut - 0.03) ELSE cut END AS score_final FROM cut),
+flag AS (
+  SELECT *, coalesce(iri_source IN ('ohd_label', 'ohd_synonym', 'resolved_alias'), false) AS ok, count(*) OVER w AS alls, sum(CASE WHEN iri_source IN ('ohd_label', 'ohd_synonym', 'resolved_alias') AND score_lex >= 0.9 THEN 1 ELSE 0 END) OVER w AS strongs FROM sco WINDOW w AS (PARTITION BY line_id, mention_id)
+),
+rnk AS (
+  SELECT * FROM (SELECT *, (alls = 1 OR strongs = 1) AND ok AND score_final >= 0.75 AS confident, row_number() OVER (PARTITION BY line_id, mention_id ORDER BY round(score_final, 9) DESC, seq, iri) AS rank
+    FROM flag WHERE alls = 1 OR strongs <> 1 OR (ok AND score_lex >= 0.9)) WHERE rank <= 5
+)"""
+
+SQL = {
+    "line_source": f"WITH {LINES} SELECT * FROM lines",
+    "n0_spacing": f"""WITH {ALL}, {STEPS.replace("nfc_normalize(raw_text)", "raw_text")}
+SELECT key, s4 AS spaced, array_to_string(list_filter([CASE WHEN s1 <> r0 THEN 'inserted_space_hebrew_digit' END, CASE WHEN s2 <> s1 THEN 'inserted_space_digit_hebrew' END, CASE WHEN s3 <> s2 THEN 'inserted_space_english_digit' END, CASE WHEN s4 <> s3 THEN 'inserted_space_digit_english' END], lambda x: x IS NOT NULL), ';') AS notes FROM s4""",
+    "n0_pairs": rf"""WITH {ALL}, {STEPS},
+p AS (SELECT key, u, unnest(m) AS p, unnest(generate_series(0, len(m) - 1)) AS n FROM (SELECT key, u, regexp_extract_all(r0, '{PAIR}') AS m FROM n0) WHERE len(m) > 0),
+q AS (SELECT key, u, n, regexp_extract(p, '(\d+)\s*([/\\-])\s*(\d+)', 1) AS a, regexp_extract(p, '(\d+)\s*([/\\-])\s*(\d+)', 2) AS sep, regexp_extract(p, '(\d+)\s*([/\\-])\s*(\d+)', 3) AS b FROM p),
+f AS (SELECT *, regexp_extract(u, a || '\s*' || CASE sep WHEN '\' THEN '\\' WHEN '-' THEN '\-' ELSE sep END || '\s*' || b) AS text FROM q)
+SELECT key, CAST(row_number() OVER (PARTITION BY key ORDER BY n) - 1 AS INTEGER) AS n, text, a, b, sep, CAST(instr(u, text) - 1 AS INTEGER) AS s, CAST(instr(u, text) - 1 + length(text) AS INTEGER) AS e FROM f WHERE text <> ''""",
+    "n0_numbers": rf"WITH {ALL}, {STEPS} SELECT key, array_to_string(regexp_extract_all(u, '\d+'), ',') AS numbers FROM n0 WHERE regexp_matches(u, '\d')",
+    "n0_units": f"""WITH {ALL}, {STEPS},
+m AS (SELECT key, t, CASE WHEN contains(s4, 'ממ') OR contains(s4, 'מ"מ') OR contains(s4, 'מילימטר') OR contains(s4, 'millimeter') THEN 'mm' END AS a, CASE WHEN contains(u, '°') THEN '°' END AS b FROM n0)
+SELECT key, t AS normalized_text, concat_ws(',', a, b) AS units FROM m WHERE a IS NOT NULL OR b IS NOT NULL""",
+    "n0_dates": rf"""WITH {ALL}, {STEPS},
+ev AS (SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') || ' ' || strftime(ts, '%d/%m/%y') AS x FROM events),
+b AS (SELECT event_id, x FROM ev UNION ALL SELECT NULL, u FROM n0),
+c AS (SELECT event_id, regexp_extract_all(x, '\d{{1,2}}[/.-]\d{{1,2}}[/.-]\d{{2,4}}') || regexp_extract_all(x, '\d{{2,4}}[/.-]\d{{1,2}}[/.-]\d{{1,2}}') AS m FROM b)
+SELECT event_id, array_to_string(m, ',') AS dates FROM c WHERE event_id IS NOT NULL OR len(m) > 0""",
+    "n0_times": r"""SELECT event_id, strftime(ts, '%H:%M:%S') || ',' || (CASE WHEN hour(ts) % 12 = 0 THEN 12 ELSE hour(ts) % 12 END) || strftime(ts, '.%M') || ' PM' AS times FROM events""",
+    "n0_nfc": "SELECT doc_id, md5(nfc_normalize(text)) AS composed FROM documents",
+    "t1_tokens": f"WITH {LINES}, al AS (SELECT CAST(doc_id AS VARCHAR) || '.' || line_no AS key, doc_id, line_no, raw_text FROM lines), {STEPS.replace('SELECT key, raw_text, nfc', 'SELECT key, doc_id, line_no, raw_text, nfc')}, {scan('n0', 'doc_id, line_no', 't')} SELECT doc_id, line_no, idx, text, kind, script, s, e FROM tok",
+    "t1_kind_counts": f"WITH {ALL}, {STEPS}, {scan('n0', 'key', 't')} SELECT kind, script, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars, CAST(sum(s * CAST(idx + 1 AS BIGINT)) AS BIGINT) AS mark FROM tok GROUP BY ALL",
+    "t1_pairs_view": rf"WITH {ALL}, {STEPS}, {scan('n0', 'key', 't')} SELECT key, idx, text, regexp_extract(text, '^\d+') AS a, regexp_extract(text, '\d+$') AS b, regexp_extract(text, '[/\\-]') AS sep FROM tok WHERE kind = 'pair'",
+    "term_cleanup": r"""SELECT p_partkey, CASE WHEN lower(p_name) = lower(p_type) THEN p_name ELSE p_name || ';' || lower(p_type) END AS terms,
+  p_name || ';' || p_type || ';' || p_type || ' ' || p_name AS guarded FROM part""",
+    "lexicon_build": f"WITH {TRIPLES} SELECT iri, label, array_to_string(synonyms, ';') AS synonyms, definition FROM lex",
+    "nodes_full": f"""WITH {TRIPLES},
+g AS (SELECT subj, CASE WHEN pred IN ('type', 'label', 'synonym', 'definition') THEN pred ELSE 'annotation' END AS role, CASE WHEN pred = 'label' THEN coalesce(lang, 'und') ELSE pred END AS k, list_sort(list(DISTINCT obj)) AS v FROM tri WHERE literal OR pred = 'type' GROUP BY ALL),
+o AS (SELECT subj, array_to_string(list(array_to_string(v, ';')) FILTER (role = 'type'), ';') AS types, array_to_string(list(k || '=' || array_to_string(v, '|') ORDER BY k) FILTER (role = 'label'), ';') AS labels, array_to_string(list(array_to_string(v, ';')) FILTER (role = 'synonym'), ';') AS synonyms, array_to_string(list(array_to_string(v, ';')) FILTER (role = 'definition'), ';') AS definitions, array_to_string(list(k || '=' || array_to_string(v, '|') ORDER BY k) FILTER (role = 'annotation'), ';') AS annotations FROM g GROUP BY subj)
+SELECT subj AS iri, coalesce(types, '') AS types, label, coalesce(labels, '') AS labels, coalesce(o.synonyms, '') AS synonyms, coalesce(definitions, '') AS definitions, coalesce(annotations, '') AS annotations FROM o LEFT JOIN lex ON iri = subj""",
+    "edges": "SELECT 'N:' || n_nationkey AS subj, 'part_of' AS pred, 'R:' || n_regionkey AS obj FROM nation",
+    "embed_text": f"WITH {TRIPLES} SELECT iri, label || CASE WHEN len(synonyms) > 0 THEN ' || ' || array_to_string(synonyms, ' | ') ELSE '' END || CASE WHEN definition <> '' THEN ' ## ' || definition ELSE '' END AS text FROM lex",
+    "gaz_exact": f"WITH {TALK}, {WORD}, {ENTRIES} SELECT conv_id, turn, idx, norm, iri, match_type, score_lex FROM wd JOIN srf ON norm = surface",
+    "gaz_phonetic": rf"""WITH {TALK}, {WORD}, {ENTRIES},
+c1 AS (SELECT DISTINCT x, substr(y, 1, 1) || regexp_replace(substr(y, 2), '[aeiou]', '', 'g') AS z FROM (SELECT surface AS x, regexp_replace(surface, '[^A-Za-z]', '', 'g') AS y FROM srf WHERE regexp_full_match(surface, '[A-Za-z ]+') UNION SELECT text, lower(text) FROM wd WHERE regexp_full_match(text, '[A-Za-z]+'))),
+c2 AS (SELECT x, array_to_string(list_filter(string_split(z, ''), lambda c, i: i = 1 OR c <> z[i - 1]), '') AS code FROM c1),
+ph AS (SELECT code, arg_min(iri, seq) AS iri FROM srf JOIN c2 ON surface = x GROUP BY code)
+SELECT conv_id, turn, idx, text, iri, 'phonetic' AS match_type, 0.83::DOUBLE AS score_lex FROM wd JOIN c2 ON text = x JOIN ph USING (code) WHERE regexp_full_match(text, '[A-Za-z]+')""",
+    "gaz_fuzzy": f"""WITH {TALK}, {WORD}, {ENTRIES},
+q AS (SELECT DISTINCT norm FROM wd WHERE regexp_full_match(text, '[A-Za-z]+')),
+f AS (SELECT norm, surface, iri, seq FROM q JOIN srf ON norm <> surface AND abs(length(norm) - length(replace(surface, ' ', ''))) <= 1 AND damerau_levenshtein(norm, replace(surface, ' ', '')) <= 1
+  UNION SELECT norm, surface, iri, seq FROM q JOIN srf ON norm <> surface AND length(norm) >= 18 AND length(replace(surface, ' ', '')) >= 18 AND 1 - levenshtein(norm, replace(surface, ' ', '')) / greatest(length(norm), length(replace(surface, ' ', ''))) >= 0.9),
+b AS (SELECT norm, arg_min(iri, seq) AS iri, arg_min(surface, seq) AS surface FROM f GROUP BY norm)
+SELECT conv_id, turn, idx, norm, iri, round(least(0.85, greatest(0.70, 0.70 + (0.85 - 0.70) * (1 - levenshtein(norm, surface) / greatest(length(norm), length(surface))))), 4) AS score_lex FROM wd JOIN b USING (norm) WHERE regexp_full_match(text, '[A-Za-z]+')""",
+    "gaz_chunks": f"""WITH {TALK}, {WORD}, {ENTRIES},
+f AS (SELECT * FROM wd WHERE norm NOT IN (SELECT surface FROM srf)),
+r AS (SELECT *, idx - row_number() OVER (PARTITION BY conv_id, turn ORDER BY idx) AS run FROM f),
+c AS (SELECT *, CAST((row_number() OVER (PARTITION BY conv_id, turn, run ORDER BY idx) - 1) // 5 AS INTEGER) AS chunk FROM r)
+SELECT conv_id, turn, CAST(run AS INTEGER) AS run, chunk, min(s) AS s, max(e) AS e, string_agg(norm, ' ' ORDER BY idx) AS surf, string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx) AS idxs FROM c GROUP BY ALL""",
+    "gaz_ngram": f"""WITH {TALK}, {WORD}, {ENTRIES},
+r AS (SELECT *, idx - row_number() OVER (PARTITION BY conv_id, turn ORDER BY idx) AS run FROM wd),
+c AS (SELECT *, CAST((row_number() OVER (PARTITION BY conv_id, turn, run ORDER BY idx) - 1) // 5 AS INTEGER) AS chunk FROM r),
+g AS (SELECT conv_id, turn, run, chunk, min(s) AS s, max(e) AS e, list(norm ORDER BY idx) AS w FROM c GROUP BY ALL),
+p AS (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM g), k AS (SELECT *, unnest(range(1, len(w) - i + 2)) AS n FROM p),
+m AS (SELECT k.*, iri, match_type, score_lex, row_number() OVER (PARTITION BY conv_id, turn, run, chunk ORDER BY i, n DESC, seq) AS rn FROM k JOIN srf ON array_to_string(w[i:i + n - 1], ' ') = surface)
+SELECT conv_id, turn, CAST(run AS INTEGER) AS run, chunk, s, e, iri, match_type, score_lex FROM m WHERE rn = 1""",
+    "span_filter": f"""WITH {ALL}, {STEPS}, {scan('n0', 'key', 't')}
+SELECT a.key, count(*) AS n, CAST(sum(a.s + a.e + 1) AS BIGINT) AS mark FROM tok a WHERE NOT regexp_full_match(a.text, '\\d+') AND NOT EXISTS (SELECT 1 FROM tok b WHERE a.key = b.key AND b.kind IN ('number', 'pair', 'unit') AND b.s < a.e + 1 AND b.e > a.s) GROUP BY a.key""",
+    "surface_hints": "SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'device_hint' WHEN 1 THEN 'finding_hint,material_hint' ELSE '' END AS hints FROM part",
+    "freq_prior": rf"""WITH {LINES}, {scan('lines', 'doc_id, line_no', 'raw_text')}, {WORD},
+c AS (SELECT norm, count(*) AS freq FROM wd WHERE length(norm) > 2 AND NOT regexp_full_match(norm, '\d+') GROUP BY norm)
+SELECT norm, freq, round(freq / max(freq) OVER (), 6) AS share FROM c""",
+    "coverage_stats": f"""WITH {TALK}, {WORD}, {ENTRIES}, h AS (SELECT count(*) AS c FROM wd JOIN srf ON norm = surface), t AS (SELECT count(*) AS n FROM tok)
+SELECT n AS total_tokens, c AS covered_tokens, round(c / n, 4) AS coverage_ratio, c AS mentions FROM h, t""",
+    "placeholder_suppress": f"WITH {RANKED} SELECT line_id, mention_id, iri FROM lexc a WHERE NOT (iri LIKE 'DEVICE:%' AND EXISTS (SELECT 1 FROM lexc b WHERE a.line_id = b.line_id AND b.iri LIKE 'http://%'))",
+    "vec_topk": """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+s AS (SELECT q.vec_id AS qid, e.vec_id AS iri, list_inner_product(q.v, e.v) AS x FROM e q, e WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(x, 9) DESC, iri) AS rank FROM s)
+SELECT qid, iri, round(x, 6) AS score_raw, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10""",
+    "vec_rerank": """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+s AS (SELECT q.vec_id AS qid, e.vec_id AS iri, list_inner_product(q.v, list_transform(e.v, lambda y: y * (e.vec_id % 3 + 1))) AS x, list_cosine_similarity(q.v, e.v) AS c FROM e q, e WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(x, 9) DESC, iri) AS k FROM s)
+SELECT qid, iri, round(c, 5) AS score_cos, CAST(row_number() OVER (PARTITION BY qid ORDER BY round(c, 9) DESC, iri) AS INTEGER) AS rank FROM r WHERE k <= 10""",
+    "vec_context": f"""WITH {TALK},
+c AS (SELECT a.conv_id, a.turn, a.idx, any_value(a.text) AS text, any_value(a.kind) AS kind, coalesce(list(b.text ORDER BY b.idx) FILTER (b.idx IS NOT NULL), []) AS near FROM tok a LEFT JOIN tok b ON a.conv_id = b.conv_id AND a.turn = b.turn AND b.idx <> a.idx AND b.idx BETWEEN a.idx - 2 AND a.idx + 2 GROUP BY ALL)
+SELECT conv_id, turn, idx, array_to_string(near, ' ') AS context, trim(text || ' ' || array_to_string(near[1:2], ' ')) AS query FROM c WHERE kind NOT IN ('number', 'pair', 'unit')""",
+    "vec_hist": """SELECT count(*) FILTER (value <= 10) AS le_10, count(*) FILTER (value > 10 AND value <= 30) AS le_30, count(*) FILTER (value > 30 AND value <= 60) AS le_60, count(*) FILTER (value > 60 AND value <= 120) AS le_120, count(*) FILTER (value > 120) AS gt_120,
+  round(avg(value), 3) AS avg_ms, quantile_disc(value, 0.95) AS p95_ms, count(value) AS n FROM events""",
+    "hybrid_attach": f"WITH {RANKED} SELECT * FROM att",
+    "hybrid_fresh": f"WITH {RANKED} SELECT line_id, vec_id FROM vec v WHERE NOT EXISTS (SELECT 1 FROM att a WHERE a.line_id = v.line_id AND a.vec_id = v.vec_id) AND ((s = 0 AND e = 0) OR NOT EXISTS (SELECT 1 FROM men m WHERE m.line_id = v.line_id AND m.s < v.e AND m.e > v.s))",
+    "hybrid_score": f"WITH {RANKED}, {SCORED} SELECT line_id, mention_id, iri, round(norm_vec, 6) AS norm_vec, round(score_final, 6) AS score_final FROM sco",
+    "hybrid_rank": f"WITH {RANKED}, {SCORED} SELECT line_id, mention_id, iri, round(score_final, 6) AS score_final, CAST(rank AS INTEGER) AS rank, confident FROM rnk",
+    "select_top1": f"WITH {RANKED}, {SCORED} SELECT men.line_id, men.mention_id, surface, s, e, iri, round(score_final, 6) AS score_final, coalesce(confident, false) AS confident FROM men LEFT JOIN (SELECT * FROM rnk WHERE rank = 1) r USING (line_id, mention_id)",
+    "rescue_gate": f"WITH {TALK}, {WORD}, {ENTRIES} SELECT conv_id, turn FROM conversations EXCEPT SELECT conv_id, turn FROM wd JOIN srf ON norm = surface WHERE match_type = 'synonym'",
+    "rescue_terms": "SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'dental implant' ELSE 'multi-unit abutment' END AS terms FROM part WHERE p_size % 4 < 2",
+    "line_stats": f"WITH {NOTES}, al AS (SELECT key, raw_text FROM notes), {STEPS}, {scan('n0', 'key', 't')} SELECT (SELECT count(*) FROM n0) AS lines, (SELECT count(*) FROM tok) AS tokens, round((SELECT count(*) FROM tok) / (SELECT count(*) FROM n0), 6) AS avg_tokens, (SELECT count(*) FROM tok WHERE kind = 'pair') AS pairs, CAST((SELECT sum(len(regexp_extract_all(u, '\\d+'))) FROM n0) AS BIGINT) AS numbers",
+    "lexicon_gap": f"WITH {TALK}, {WORD}, {ENTRIES} SELECT iri, label FROM ent WHERE label NOT IN (SELECT norm FROM wd)",
+    "nested_items": """WITH e AS (SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)
+SELECT event_id, CASE WHEN k % 5 > 0 THEN i - 1 END AS n, CASE WHEN k % 5 > 0 THEN CAST(k + i AS INTEGER) END AS tooth, CASE WHEN k % 5 > 0 THEN 'M/' || i END AS surfaces FROM (SELECT *, unnest(CASE WHEN k % 5 > 0 THEN range(1, k % 3 + 2) ELSE [1] END) AS i FROM e)""",
+    "hint_join": f"""WITH {TALK},
+h AS (SELECT conv_id, turn, CAST((turn + n * (conv_id % 2)) % 5 AS INTEGER) AS idx, n, 'h' || n AS hint, 'g' || ((conv_id + n) % 4) AS g FROM conversations, (SELECT unnest([1, 2]) AS n)),
+l AS (SELECT conv_id, turn, idx, max(n) AS n FROM h GROUP BY ALL),
+d AS (SELECT 'g' || r_regionkey AS g, r_name FROM region WHERE r_regionkey < 3)
+SELECT t.conv_id, t.turn, t.idx, t.text, h.hint, d.g AS tooth_group, d.r_name AS fdi FROM tok t LEFT JOIN l USING (conv_id, turn, idx) LEFT JOIN h ON h.conv_id = t.conv_id AND h.turn = t.turn AND h.idx = t.idx AND h.n = l.n LEFT JOIN d ON d.g = h.g WHERE t.idx < 20""",
+    "gazetteer_surfaces": f"WITH {TRIPLES}, {{SURFACES}} SELECT seq, surface, iri, label, match_type, score_lex, iri_source FROM sf",
+    "gaz_dedupe": f"WITH {TRIPLES}, {{SURFACES}} SELECT surface, iri, label, match_type, score_lex FROM (SELECT *, row_number() OVER (PARTITION BY surface ORDER BY CASE match_type WHEN 'label' THEN 1 ELSE 2 END, seq) AS rn FROM sf) WHERE rn = 1",
+    "resolve_alias": f"""WITH {ENTRIES},
+a AS (SELECT DISTINCT alias FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS alias FROM benchmark UNION ALL SELECT n_name FROM nation UNION ALL SELECT reverse(label) FROM ent)),
+n AS (SELECT seq, iri, label, label AS name, 1 AS stage FROM ent UNION ALL SELECT seq, iri, label, synonyms[1], 2 FROM ent WHERE len(synonyms) > 0),
+x AS (SELECT alias, iri, label, stage, seq, 0 AS size FROM a JOIN n ON lower(trim(alias)) = name UNION ALL SELECT alias, iri, label, 3, seq, length(label) FROM a JOIN n ON contains(name, lower(trim(alias))) OR contains(lower(trim(alias)), name) WHERE trim(alias) <> ''),
+r AS (SELECT *, row_number() OVER (PARTITION BY alias ORDER BY stage, size, seq) AS rn FROM x)
+SELECT alias, iri, label, CASE stage WHEN 1 THEN 'ohd_label' WHEN 2 THEN 'ohd_synonym' ELSE 'resolved_alias' END AS iri_source, stage FROM r WHERE rn = 1""",
+    "bundles": f"""WITH {RANKED}, {SCORED},
+t AS (SELECT men.line_id, mention_id, men.s // 20 AS s, men.s // 20 + 1 AS e, surface || CASE WHEN line_id % 4 = 0 THEN ' 4mm' ELSE '' END AS surface, CASE WHEN line_id % 2 = 0 THEN 'DEVICE:1' ELSE r.iri END AS iri, score_lex, score_final FROM men LEFT JOIN (SELECT * FROM rnk WHERE rank = 1) r USING (line_id, mention_id)),
+g AS (SELECT *, sum(CASE WHEN piri = iri AND pe = s THEN 0 ELSE 1 END) OVER (PARTITION BY line_id ORDER BY s, e, mention_id ROWS UNBOUNDED PRECEDING) AS g FROM (SELECT *, lag(iri) OVER w AS piri, lag(e) OVER w AS pe FROM t WINDOW w AS (PARTITION BY line_id ORDER BY s, e, mention_id)) WHERE iri IS NOT NULL),
+m AS (SELECT line_id, first(mention_id ORDER BY s, e, mention_id) AS mention_id, first(iri) AS iri, CAST(min(s) AS INTEGER) AS s, CAST(max(e) AS INTEGER) AS e, string_agg(surface, ' ' ORDER BY s, e, mention_id) AS surface, first(score_lex ORDER BY s, e, mention_id) AS sl, first(score_final ORDER BY s, e, mention_id) AS sf FROM g GROUP BY line_id, g),
+k AS (SELECT line_id, mention_id, iri, s, e, surface FROM m WHERE NOT (sl = 0 AND sf < 0.15))
+SELECT *, false AS bundle FROM k UNION ALL SELECT *, true FROM k WHERE (iri LIKE 'DEVICE:%' OR iri LIKE 'IMPLANT:%') AND regexp_matches(surface, '[0-9]')""",
+    "grid_search": f"""WITH {RANKED},
+w AS (SELECT row_number() OVER (ORDER BY a, b, c) AS nth, a AS w_lex, b AS w_vec, c AS w_prior FROM (SELECT unnest([0.4, 0.6, 0.8])::DOUBLE AS a), (SELECT unnest([0.1, 0.2, 0.3])::DOUBLE AS b), (SELECT unnest([0.0, 0.05, 0.1])::DOUBLE AS c)),
+g AS (SELECT lower(p_name) AS k, 'http://purl.obolibrary.org/obo/OHD_' || (max(p_partkey) % 40) AS want FROM part GROUP BY ALL),
+x AS (SELECT nth, w_lex, w_vec, w_prior, line_id, mention_id, want, iri, row_number() OVER (PARTITION BY nth, line_id, mention_id ORDER BY round(w_lex * score_lex + w_vec * norm_vec + w_prior * score_prior, 9) DESC, seq, iri) AS rn FROM nrm JOIN men USING (line_id, mention_id) JOIN g ON lower(surface) = k, w)
+SELECT CAST(nth AS INTEGER) AS nth, w_lex, w_vec, w_prior, round(avg(CASE WHEN iri = want THEN 1 ELSE 0 END), 6) AS accuracy, count(*) AS n FROM x WHERE rn = 1 GROUP BY ALL""",
+}
+
+SURFACES = """
+sq AS (SELECT *, row_number() OVER (ORDER BY iri) - 1 AS n FROM lex),
+fn AS (SELECT * FROM sq WHERE length(label) > 2 AND NOT regexp_full_match(label, '[0-9]+')),
+sf AS (
+  SELECT n * 1000 AS seq, lower(label) AS surface, iri, label, 'label' AS match_type, 1.0::DOUBLE AS score_lex, 'ohd_label' AS iri_source FROM fn
+  UNION ALL SELECT n * 1000 + i, lower(synonyms[i]), iri, label, 'synonym', 0.9, 'ohd_synonym' FROM (SELECT *, unnest(range(1, len(synonyms) + 1)) AS i FROM fn)
+  UNION ALL SELECT p_partkey + 1000000000, lower(p_brand || ' ' || p_type), 'BRAND:' || p_brand, p_brand, 'synonym', 0.9, 'brand_synonym' FROM part
+)"""
+SQL = {k: v.replace("{SURFACES}", SURFACES) for k, v in SQL.items()}
