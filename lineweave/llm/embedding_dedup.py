@@ -31,7 +31,7 @@ from .shared import components, publish, table
 
 #: Least cosine of a link; rotations; blocks of a product code; vectors that share a filter by chance; shared filters that a pair at
 #: the least cosine should have; rows of a block of a large filter.
-COSINE, ROTATIONS, BLOCKS, PER_FILTER, SHARED, BLOCK = 0.93, 16, 2, 8, 14.0, 1024
+COSINE, ROTATIONS, BLOCKS, PER_FILTER, SHARED, BLOCK = 0.93, 16, 2, 24, 9.0, 1024
 
 
 @dataclass(frozen=True)
@@ -103,38 +103,31 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def _matrix(column: pa.Array, kind: np.dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
-
-
-def _deal(codes: dict[int, Code]):
+def _deal(codes: dict[int, Code], kind: str, narrow: str):
     """Distinct vectors to rows (label, filter, id, weight, vector, filters), one for each filter they pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                dims = np.array([len(b) // 8 for b in batch.column(3).to_pylist()])
+                dims = np.array([len(b) // np.dtype(kind).itemsize for b in batch.column(3).to_pylist()])
                 for dim in np.unique(dims).tolist():
                     rows = np.flatnonzero(dims == dim)
                     part = batch.take(pa.array(rows))
-                    x = _unit(_matrix(part.column(3), np.float64).reshape(-1, dim))
+                    x = _unit(np.frombuffer(b"".join(part.column(3).to_pylist()), kind).reshape(-1, dim).astype(float))
                     row, filt = decode(x, codes[dim])
                     if not len(row):
                         continue
                     edge = np.searchsorted(row, np.arange(len(x) + 1))
-                    lists = [filt[i:j].tobytes() for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+                    short = filt.astype(narrow)
+                    lists = [short[i:j].tobytes() for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
                     of = pa.array(row)
                     yield pa.RecordBatch.from_arrays([part.column(0).take(of), pa.array(np.full(len(row), dim, np.int32)), pa.array(filt), *(part.column(i).take(of) for i in (1, 2, 3)), pa.array(lists, pa.binary()).take(of)], names=["label", "dim", "filter", "id", "weight", "vector", "filters"])
 
     return run
 
 
-def _first_common(a: np.ndarray, b: np.ndarray) -> int:
-    return int(np.intersect1d(a, b, assume_unique=True)[0])
-
-
-def _compare(cosine: float):
+def _compare(cosine: float, kind: str, narrow: str):
     def links(group: dict, i: np.ndarray, j: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of rows at or above the cosine whose first common filter is this one."""
         found = [], []
@@ -144,7 +137,8 @@ def _compare(cosine: float):
             a, b = rows[hit[:, 0]], j[hit[:, 1]]
             ok = (b > a) if same else np.ones(len(a), bool)
             a, b = a[ok], b[ok]
-            first = np.fromiter((_first_common(group["filters"][p], group["filters"][q]) for p, q in zip(a.tolist(), b.tolist(), strict=True)), np.int64, len(a)) if len(a) else np.empty(0, np.int64)
+            sets = {k: set(np.frombuffer(group["filters"][k], narrow).tolist()) for k in {*a.tolist(), *b.tolist()}}
+            first = np.fromiter((min(sets[p] & sets[q]) for p, q in zip(a.tolist(), b.tolist(), strict=True)), np.int64, len(a))
             found[0].append(a[first == group["filter"][a]])
             found[1].append(b[first == group["filter"][a]])
         return tuple(np.concatenate(f) if f else np.empty(0, np.int64) for f in found)
@@ -161,7 +155,7 @@ def _compare(cosine: float):
             if b - a < 2:
                 continue
             at = order[a:b]
-            group = {"x": _unit(np.frombuffer(b"".join(vectors[k] for k in at), np.float64).reshape(b - a, -1)), "filters": [np.frombuffer(lists[k], np.int64) for k in at], "filter": key[a:b, 2]}
+            group = {"x": _unit(np.frombuffer(b"".join(vectors[k] for k in at), kind).reshape(b - a, -1).astype(float)), "filters": [lists[k] for k in at], "filter": key[a:b, 2]}
             i, j = key[a, 3], key[a, 4]
             p, q = links(group, np.flatnonzero(block[a:b] == i), np.flatnonzero(block[a:b] == j), i == j)
             if not len(p):
@@ -190,7 +184,9 @@ def _compare(cosine: float):
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = COSINE) -> DataFrame:
     """(id, n_links, component_id) of each row."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(label_col)).alias("label"), F.col(label_col).isNotNull().alias("labelled"), F.col(vector_col).cast("array<double>").alias("v"))
+    kind = "float" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "double"
+    form = {"float": "<f4", "double": "<f8"}[kind]  # sent as they are, compared in double precision
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(label_col)).alias("label"), F.col(label_col).isNotNull().alias("labelled"), F.col(vector_col).cast(f"array<{kind}>").alias("v"))
     finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("v", lambda c: c != 0)
     good = F.coalesce(F.col("labelled") & finite & F.col("id").isNotNull(), F.lit(False))
     fine = rows.where(good).select("id", "label", "v")
@@ -198,14 +194,15 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     classes = publish(classes.select("label", "low", "weight", "v", F.size("v").alias("dim")), "vector-classes")
     sizes = classes.groupBy("dim", "label").agg(F.count("*").alias("n")).groupBy("dim").agg(F.max("n").alias("n")).collect()  # one row a vector length
     codes = {r["dim"]: design(r["n"], r["dim"], cosine) for r in sizes}
+    narrow = "<i4" if all(ROTATIONS * c.words**BLOCKS < 2**31 for c in codes.values()) else "<i8"
     packed = classes.select("label", "low", "weight", "v").mapInArrow(_pack, "label long, low long, weight long, vector binary")
-    dealt = publish(packed.mapInArrow(_deal(codes), "label long, dim int, filter long, id long, weight long, vector binary, filters binary"), "vector-filters")
+    dealt = publish(packed.mapInArrow(_deal(codes, form, narrow), "label long, dim int, filter long, id long, weight long, vector binary, filters binary"), "vector-filters")
     held = dealt.groupBy("label", "dim", "filter").agg(F.count("*").alias("rows")).where("rows > 1").select("label", "dim", "filter", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
     met = dealt.join(held, ["label", "dim", "filter"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     met = met.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")).withColumn("i", F.least("block", "o")).withColumn("j", F.greatest("block", "o"))
     tasks = int(max(256, sum(r["n"] for r in sizes) // 200))
     met = met.withColumn("task", F.pmod(F.xxhash64("label", "filter", "i", "j"), F.lit(tasks))).drop("o", "blocks")
-    part = publish(met.groupBy("task").applyInArrow(_compare(cosine), "u long, v long, n long"), "vector-links")
+    part = publish(met.groupBy("task").applyInArrow(_compare(cosine, form, narrow), "u long, v long, n long"), "vector-links")
     links = part.groupBy("u").agg(F.sum("n").alias("near"))
     comp = components(part.select("u", "v"), "vectors")
 
@@ -219,7 +216,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lists = batch.column(3)
-        values = lists.flatten().to_numpy()
+        values = lists.flatten().to_numpy(zero_copy_only=False)
         edge = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
         blobs = [values[i:j].tobytes() for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(blobs, pa.binary())], names=["label", "low", "weight", "vector"])
