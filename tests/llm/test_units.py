@@ -1,0 +1,153 @@
+"""Parts of the training-data operators, without Spark."""
+
+import hashlib
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from lineweave.llm import embedding_dedup, exact_dedup, jaccard_join, language_id, packing, quality, secret_scan, shingles, warc_index
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 100, 5000, 60_000])
+def test_fuse_filter_has_no_false_negatives(n):
+    keys = np.unique(np.random.default_rng(n).integers(0, 2**64, n, dtype=np.uint64))
+    f = exact_dedup.build_filter(keys)
+    assert exact_dedup.in_filter(keys, *f).all()
+    other = np.random.default_rng(n + 1).integers(0, 2**64, 20_000, dtype=np.uint64)
+    assert exact_dedup.in_filter(other, *f).mean() < 0.01
+
+
+def naive_set(text, width=5):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    w = re.findall(r"[^\x20\x09-\x0D]+", low)
+    return {tuple(w[i : i + width]) for i in range(max(len(w) - width + 1, 0))} or ({tuple(w)} if w else set())
+
+
+@settings(max_examples=60, deadline=None, derandomize=True, database=None)
+@given(st.lists(st.text(st.sampled_from("aAbé \n\t1"), max_size=60), min_size=1, max_size=6))
+def test_shingle_sets(texts):
+    h, owner = shingles.shingle_sets([t.encode() for t in texts])
+    mine = [set(h[owner == i].tolist()) for i in range(len(texts))]
+    sets = [naive_set(t) for t in texts]
+    assert [len(m) for m in mine] == [len(s) for s in sets]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert len(mine[i] & mine[j]) == len(a & b)
+
+
+def test_rtree_misses_nothing():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 8, (40, jaccard_join.GROUPS))
+    points = np.concatenate([np.maximum(base + rng.integers(-1, 2, base.shape), 0) for _ in range(60)])
+    n = points.sum(1)
+    tree = jaccard_join.RTree(points, n)
+    for q in range(0, len(points), 97):
+        found = set(tree.query(points[q], int(n[q])).tolist())
+        need = 175 * np.minimum(points, points[q]).sum(1) >= 75 * (n + n[q])
+        size = (100 * n >= 75 * n[q]) & (100 * n[q] >= 75 * n)
+        assert set(np.flatnonzero(need & size).tolist()) <= found
+
+
+def test_tokenizer_equals_library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    full = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["", "a", "  a", "it's a dog's", "a\n\nb", " x ", "x\n", "tab\there", "émö ñ", "１２３ abc½", "<|endoftext|> a", "😀 a", "a'b", "12ab34 !!??", "word " * 300, "é́​"]
+    ids, n = packing.Tokenizer().encode(texts)
+    for t, part in zip(texts, np.split(ids, np.cumsum(n)[:-1]), strict=True):
+        assert part.tolist() == [*full.encode(t, add_special_tokens=False).ids, 0]
+
+
+def test_best_fit_and_cut():
+    bins, free = packing.OpenBins(100, 5), {}
+    rng = np.random.default_rng(1)
+    for size in rng.integers(1, 101, 3000).tolist():
+        b, at = bins.place(size)
+        assert at == 100 - free.get(b, 100)
+        free[b] = free.get(b, 100) - size
+        assert free[b] >= 0 and bins.count <= 5
+    doc, piece, start, size = packing.cut(np.array([1, 100, 101, 350]), 100)
+    assert size.tolist() == [1, 100, 1, 100, 50, 100, 100, 100] and start.tolist() == [0, 0, 0, 1, 0, 50, 150, 250] and doc.tolist() == [0, 1, 2, 2, 3, 3, 3, 3] and piece.tolist() == [0, 0, 0, 1, 0, 1, 2, 3]
+
+
+def test_secret_patterns():
+    base = lambda t: [(secret_scan.KINDS[k], s, e) for s, k, e in secret_scan.base_spans(t)]
+    assert base("password=abc token: 'abcdefgh'") == [("assign", 13, 29)]
+    assert base("token=secret:abcdefgh") == [] and base("API_KEY = x1234567") == [("assign", 0, 18)]
+    assert base("ſecret=abcdefgh") == []  # letters in either case are ASCII letters
+    assert base("AKIA123 AKIAABCDEFGHIJKL") == [("access", 8, 24)] and base("é" + "a" * 31) == [] and base("é" + "a" * 40) == [("hex", 1, 41)]
+    assert secret_scan.scan_text("", secret_scan.trained()) == []
+
+
+def test_secret_network():
+    net = secret_scan.trained()
+    items, y = secret_scan.findings(np.random.default_rng(123), 1500)
+    hit = net.score(secret_scan.codes(items)) >= net.threshold
+    assert hit[y == 1].mean() >= 0.93 and hit[y == 0].mean() <= 0.01
+
+
+def test_kneser_ney_sums_to_one_and_tells_languages():
+    texts = {"x": "the cat sat on the mat and the hat " * 20, "y": "der hund und die katze sind im haus " * 20}
+    tables = {}
+    for lang, t in texts.items():
+        sym, text = language_id.symbols([t])
+        tables[lang] = np.unique(language_id.grams_of(sym, text), return_counts=True)
+    model = language_id.kneser_ney(["x", "y"], tables)
+    grams = model.keys[3][model.keys[3] >> np.uint64(16) == model.keys[3][50] >> np.uint64(16)]
+    context = grams[0] >> np.uint64(16) << np.uint64(16)
+    symbols = np.unique(np.concatenate([k & np.uint64(0xFFFF) for k in model.keys]))
+    total = np.exp(model.lookup(context | symbols)).sum(0)
+    assert (total <= 1.02).all() and (total > 0.9).all()  # each symbol that a language never shows has the floor, so a little over 1
+    assert model.score(["the mat", "die katze", ""]).argmin(1).tolist()[:2] == [0, 1]
+    alone, both = model.score(["the mat"]), model.score(["die", "the mat"])
+    assert np.allclose(alone[0], both[1])
+
+
+def test_cap_filters_recall():
+    rng = np.random.default_rng(0)
+    a = rng.normal(size=(800, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    g = rng.normal(size=a.shape)
+    g -= (g * a).sum(1, keepdims=True) * a
+    b = 0.93 * a + np.sqrt(1 - 0.93**2) * g / np.linalg.norm(g, axis=1, keepdims=True)
+    code = embedding_dedup.design(5000, 64)
+    lists = []
+    for x in (a, b):
+        row, filt = embedding_dedup.decode(x, code)
+        edge = np.searchsorted(row, np.arange(len(x) + 1))
+        lists.append([set(filt[i:j].tolist()) for i, j in zip(edge[:-1], edge[1:], strict=True)])
+    assert np.mean([bool(x & y) for x, y in zip(*lists, strict=True)]) >= 0.97
+    turn, words = code.parts()  # list decoding equals trying every filter
+    for i in range(5):
+        every = set()
+        for r in range(embedding_dedup.ROTATIONS):
+            y = (a[i] @ turn[r]).reshape(embedding_dedup.BLOCKS, -1)
+            inner = np.einsum("bw,bmw->bm", y, words[r])
+            for p in range(code.words):
+                for q in range(code.words):
+                    if inner[0, p] + inner[1, q] >= code.cap:
+                        every.add((r * code.words + p) * code.words + q)
+        assert every == lists[0][i]
+
+
+def test_warc_records():
+    raw = warc_index.record(7, "http://a/\r\nx", "é".encode(), None)
+    fields, http, payload = warc_index.parse(raw)
+    assert payload == "é".encode() and fields["WARC-Type"] == "response" and fields["WARC-Payload-Digest"] == "sha1:" + warc_index.digest32(payload) and raw.endswith(b"\r\n\r\n")
+    fields, http, payload = warc_index.parse(warc_index.record(8, "", b"abc", 7))
+    assert fields["WARC-Refers-To"] == "<urn:page:7>" and http["Content-Length"] == "3" and payload == b""
+    assert len(warc_index.digest32(b"")) == 32 and hashlib.sha1(b"").digest()
+
+
+def test_label_model_and_measures():
+    texts = ["The cat sat on the mat, and it was warm. The dog came in and sat by the fire too.", "No No No No No No No No No No de de de de de de de", "LOUD!! WORDS!! ALL!! THE!! WAY!! DOWN!! HERE!! NOW!!", "", "a | b | c | d | e | f | g | h | i"]
+    v = quality.votes(quality.measure([t.encode() for t in texts])[0])
+    assert (v[0] != quality.BAD).all() and all((v[i] == quality.BAD).any() for i in range(1, 5))
+    codes, counts = np.unique(quality.patterns(v[[0] * 90 + [1] * 5 + [2] * 5 + [4] * 5]), return_counts=True)
+    model = quality.fit_labels(codes, counts.astype(float))
+    p = model.posterior(v)
+    assert p[0] < 0.1 and (p[[1, 2, 4]] > 0.5).all() and ((model.accuracy > 0) & (model.accuracy <= 1)).all()
