@@ -38,7 +38,7 @@ def line_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def word_classes(docs: DataFrame, text_col: str) -> str:
     """SQL array, by hash of a word, of the binary logarithm of how often words with that hash occur."""
     words = docs.select(F.explode(F.split(text_col, _SPLIT)).alias("w")).where("w <> ''")
-    counts = words.groupBy(F.pmod(F.hash("w"), F.lit(WORD_TABLE)).alias("b")).agg(F.count("*").alias("n")).collect()  # WORD_TABLE rows at most
+    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(WORD_TABLE)).alias("b")).agg(F.count("*").alias("n")).collect()  # WORD_TABLE rows at most
     classes = [0] * WORD_TABLE
     for b, n in counts:
         classes[b] = min(63, n.bit_length())
@@ -52,7 +52,8 @@ def tokens(lines: DataFrame, classes: str) -> DataFrame:
     mask = (1 << 56) - 1
     shingle = f"shiftleft(cast(least({least}) AS bigint), 56) | (xxhash64({joined}) & {mask})"
     w = lines.withColumn("w", F.split("line", _SPLIT))
-    w = w.withColumn("h", F.transform("w", lambda x: F.xxhash64(x))).withColumn("c", F.expr(f"transform(w, x -> {classes}[pmod(hash(x), {WORD_TABLE})])"))
+    w = w.withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
+    w = w.withColumn("c", F.expr(f"transform(h, x -> {classes}[pmod(x, {WORD_TABLE})])"))
     short = F.array(F.xxhash64(F.array_join("w", " ")).bitwiseAND(F.lit(mask)))
     full = F.expr(f"transform(sequence(0, size(w) - {WIDTH}), i -> {shingle})")
     return w.withColumn("tokens", F.sort_array(F.array_distinct(F.when(F.size("w") >= WIDTH, full).otherwise(short)))).drop("w", "h", "c")
@@ -99,7 +100,10 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     near = publish(_verify(pairs, sets), "line-near")
     rest = live.join(near, live.lh == near.x, "left_anti")
     others = rest.alias("x").join(live.alias("y"), F.col("x.token") == F.col("y.token")).where(F.expr(f"y.first < x.first AND {_fits('x', 'y')}"))
-    others = others.select(F.col("x.lh").alias("x"), F.col("y.lh").alias("y")).distinct().join(pairs, ["x", "y"], "left_anti")
+    # what two prefixes share, and the longer suffix, bound the overlap
+    met = others.groupBy(F.col("x.lh").alias("x"), F.col("y.lh").alias("y")).agg(F.count("*").alias("c"), F.first("x.n").alias("nx"), F.first("y.n").alias("ny"))
+    met = met.where(f"{NUM + DEN} * (c + ceil({NUM} * greatest(nx, ny) / {DEN}) - 1) >= {NUM} * (nx + ny)")
+    others = met.select("x", "y").join(pairs, ["x", "y"], "left_anti")
     near = near.unionByName(_verify(publish(others, "line-others"), sets)).withColumnRenamed("x", "near_lh")
 
     gone = publish(copies.join(near, F.col("lh") == F.col("near_lh"), "left").where("copies > 1 or near_lh is not null").select("lh", "first", F.col("near_lh").isNotNull().alias("near")), "line-gone")
