@@ -68,13 +68,18 @@ def _tail(dim: int) -> tuple[np.ndarray, np.ndarray]:
 def design(n: int, dim: int, cosine: float = COSINE, per_filter: float = PER_FILTER, shared: float = SHARED) -> Code:
     """Code for about n vectors of a label: P(pass) = per_filter / n, and enough filters that pairs at the cosine share `shared` of them."""
     s, above = _tail(dim)
-    p = min(0.02, per_filter / max(n, 1))
-    cap = float(np.interp(p, above, s))
     rest, rest_above = _tail(max(dim - 1, 2))
-    inner = s[s >= cap]  # of a direction with one vector that passes; the other's follows from it and a random rest
-    mass = np.diff(above[: len(inner)], prepend=0.0)
-    need = (cap - cosine * inner) / np.maximum(np.sqrt((1 - cosine**2) * (1 - inner**2)), 1e-12)
-    both = float((mass * np.interp(np.clip(need, -1, 1), rest[::-1], rest_above[::-1])).sum())
+    p, both = min(0.02, per_filter / max(n, 1)), 0.0
+    while True:
+        cap = float(np.interp(p, above, s))
+        inner = s[s >= cap]  # of a direction with one vector that passes; the other's follows from it and a random rest
+        mass = np.diff(above[: len(inner)], prepend=0.0)
+        need = (cap - cosine * inner) / np.maximum(np.sqrt((1 - cosine**2) * (1 - inner**2)), 1e-12)
+        both = float((mass * np.interp(np.clip(need, -1, 1), rest[::-1], rest_above[::-1])).sum())
+        if both >= (0.2 if dim > 4 else 0.7) * p or p >= 0.4:
+            break
+        p *= 1.5  # in few dimensions a narrow cap has no room for two vectors at the cosine
+    both = max(both, 0.01)
     words = int(np.ceil((shared / both / ROTATIONS) ** (1 / BLOCKS)))
     return Code(dim, max(2, words), cap)
 
