@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import mix64, publish, table
+from .shared import lowest_hashes, publish, table
 
 #: Characters of the longest n-gram; n-grams that a language keeps, the most frequent ones; texts that calibrate; characters at a time.
 ORDER, MOST_NGRAMS, CALIBRATION_ROWS, CHUNK_CHARS = 4, 300_000, 2_000, 1_000_000
@@ -253,7 +253,8 @@ def train(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     if not langs:
         return None
     model = kneser_ney(langs, tables)
-    sample = rows.orderBy(F.xxhash64("text", "lang")).limit(CALIBRATION_ROWS).collect()
+    keyed = rows.withColumn("key", F.xxhash64("text", "lang"))
+    sample = keyed.where(F.col("key") <= F.lit(lowest_hashes(CALIBRATION_ROWS, keyed.count()))).orderBy("key").limit(CALIBRATION_ROWS).collect()
     return calibrate(model, [r["text"] for r in sample], [r["lang"] for r in sample])
 
 

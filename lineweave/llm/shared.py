@@ -37,10 +37,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a scan (the files' bytes); it sets partition counts only, never results."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bitLength() and
-               min(2**60, int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())))
+def lowest_hashes(wanted: int, of: int) -> int:
+    """A signed 64-bit hash below which about twice the wanted rows lie, so that no task offers more than its share of a sample."""
+    return min(2**63 - 1, int((min(1.0, 2 * (wanted + 50) / max(of, 1)) - 0.5) * 2**64))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
