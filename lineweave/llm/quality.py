@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import publish, table
+from .shared import lowest_hashes, publish, table
 from .shingles import chunks, word_hashes
 
 #: Documents that the scorer is fitted on, at most; dimensions for words; steps of a measure; passes of the fit; score from which a text is kept.
@@ -229,8 +229,10 @@ def train(docs: DataFrame, text_col: str = "text", fit_rows: int = FIT_ROWS) ->
     posterior = dict(zip(codes.tolist(), p.tolist(), strict=True))
     last = {}
     for bad in (True, False):
-        own = [c for c, q in posterior.items() if (q > 0.5) == bad]
-        top = voted.where(F.col("pattern").isin(own)).select("key").distinct().orderBy("key").limit(fit_rows // 2).agg(F.max("key")).first()[0] if own else None
+        own = {c for c, q in posterior.items() if (q > 0.5) == bad}
+        many = lowest_hashes(fit_rows // 2, sum(n for c, n in zip(codes.tolist(), counts.tolist(), strict=True) if c in own))
+        lowest = voted.where(F.col("pattern").isin(own) & (F.col("key") <= F.lit(many))).select("key").distinct()
+        top = lowest.orderBy("key").limit(fit_rows // 2).agg(F.max("key")).first()[0] if own else None
         if top is not None:
             last[bad] = top
     distinct = keyed.where(F.col("key") <= max(last.values())).groupBy("key").agg(F.first("text").alias("text"))
