@@ -25,7 +25,7 @@ def lines_of(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, line_no, raw_text) of text files; doc_id is the file, line_no the place in it."""
-    whole = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), "value")
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     return lines_of(whole, "file", "value")
 
 
@@ -50,7 +50,7 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
 def read_dictionary(spark: SparkSession, path: str, many: bool = False) -> DataFrame:
     """(key, value) rows of one JSON object; values may be lists."""
     kind = "map<string,array<string>>" if many else "map<string,string>"
-    rows = spark.read.option("wholetext", True).text(path).select(F.explode(F.from_json("value", kind)).alias("key", "value"))
+    rows = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", kind)).alias("key", "value"))
     return rows.select("key", F.posexplode("value").alias("nth", "value")) if many else rows
 
 
