@@ -79,8 +79,7 @@ def design(n: int, dim: int, cosine: float = COSINE, per_filter: float = PER_FIL
         if both >= (0.2 if dim > 4 else 0.7) * p or p >= 0.4:
             break
         p *= 1.5  # in few dimensions a narrow cap has no room for two vectors at the cosine
-    both = max(both, 0.01)
-    words = int(np.ceil((shared / both / ROTATIONS) ** (1 / BLOCKS)))
+    words = int(np.ceil((shared / max(both, 1e-12) / ROTATIONS) ** (1 / BLOCKS)))
     return Code(dim, max(2, words), cap)
 
 

@@ -134,6 +134,23 @@ def test_cap_filters_recall():
         assert every == lists[0][i]
 
 
+@pytest.mark.parametrize("n", [20_000, 100_000, 1_000_000])
+def test_cap_filters_grow_with_the_vectors(n):
+    rng = np.random.default_rng(1)
+    a = rng.normal(size=(200, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    g = rng.normal(size=a.shape)
+    g -= (g * a).sum(1, keepdims=True) * a
+    b = 0.93 * a + np.sqrt(1 - 0.93**2) * g / np.linalg.norm(g, axis=1, keepdims=True)
+    code = embedding_dedup.design(n, 64)
+    lists = []
+    for x in (a, b):
+        row, filt = embedding_dedup.decode(x, code)
+        edge = np.searchsorted(row, np.arange(len(x) + 1))
+        lists.append([set(filt[i:j].tolist()) for i, j in zip(edge[:-1], edge[1:], strict=True)])
+    assert np.mean([bool(x & y) for x, y in zip(*lists, strict=True)]) >= 0.95
+
+
 def test_warc_records():
     raw = warc_index.record(7, "http://a/\r\nx", "é".encode(), None)
     fields, http, payload = warc_index.parse(raw)
