@@ -67,10 +67,15 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _fits(left: str, right: str) -> str:
-    """Length and positional filter of two postings (n tokens, token at place i from 1)."""
+    """Length and positional filter of two postings (n tokens, token at place i from 1); the positional one holds for the first token a pair shares."""
     return f"{DEN} * {left}.n >= {NUM} * {right}.n AND {DEN} * {right}.n >= {NUM} * {left}.n AND {NUM + DEN} * (1 + least({left}.n - {left}.i, {right}.n - {right}.i)) >= {NUM} * ({left}.n + {right}.n)"
 
 
+def _may_share(left: str, right: str) -> str:
+    """Length filter, and the positional one that holds for every token a similar pair shares: what precedes it in both may be shared too."""
+    return f"{DEN} * {left}.n >= {NUM} * {right}.n AND {DEN} * {right}.n >= {NUM} * {left}.n AND {NUM + DEN} * (least({left}.i, {right}.i) + least({left}.n - {left}.i, {right}.n - {right}.i)) >= {NUM} * ({left}.n + {right}.n)"
+
+
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, exact, near): places of the lines that each document loses, as a copy and as similar to an earlier line."""
     rows = line_rows(docs, id_col, text_col)
@@ -99,10 +104,10 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     pairs = publish(pairs.select(F.col("x.lh").alias("x"), F.col("y.lh").alias("y")).distinct(), "line-leaders")
     near = publish(_verify(pairs, sets), "line-near")
     rest = live.join(near, live.lh == near.x, "left_anti")
-    others = rest.alias("x").join(live.alias("y"), F.col("x.token") == F.col("y.token")).where(F.expr(f"y.first < x.first AND {_fits('x', 'y')}"))
-    # what two prefixes share, and the longer suffix, bound the overlap
-    met = others.groupBy(F.col("x.lh").alias("x"), F.col("y.lh").alias("y")).agg(F.count("*").alias("c"), F.first("x.n").alias("nx"), F.first("y.n").alias("ny"))
-    met = met.where(f"{NUM + DEN} * (c + ceil({NUM} * greatest(nx, ny) / {DEN}) - 1) >= {NUM} * (nx + ny)")
+    others = rest.alias("x").join(live.alias("y"), F.col("x.token") == F.col("y.token")).where(F.expr(f"y.first < x.first AND {_may_share('x', 'y')}"))
+    # what two prefixes share, and the longer suffix, bound the overlap; so does the place of the first shared token
+    met = others.groupBy(F.col("x.lh").alias("x"), F.col("y.lh").alias("y")).agg(F.count("*").alias("c"), *(F.min(f"{t}.{k}").alias(f"{k}{t}") for t in "xy" for k in "ni"))
+    met = met.where(f"{NUM + DEN} * least(c + ceil({NUM} * greatest(nx, ny) / {DEN}) - 1, 1 + least(nx - ix, ny - iy)) >= {NUM} * (nx + ny)")
     others = met.select("x", "y").join(pairs, ["x", "y"], "left_anti")
     near = near.unionByName(_verify(publish(others, "line-others"), sets)).withColumnRenamed("x", "near_lh")
 

@@ -108,6 +108,22 @@ def test_line_dedup(docs, empty):
         line_dedup.dedup_lines(docs.withColumn("n_near", F.lit(0)))
 
 
+def test_line_dedup_beyond_the_leaders_of_postings(spark):
+    rng = random.Random(6)
+    word = lambda n: ["".join(rng.choice("abcdefghijklmnop") for _ in range(9)) for _ in range(n)]
+    often = word(12)
+    fill = lambda n: [rng.choice(often) for _ in range(n)]
+    lines = []
+    for n in range(4, 31):  # shingles; every one of them is led, as earliest and as most copied, by a line of frequent words besides, which is not similar
+        base, other = word(n + 4), word(1)
+        head, tail = " ".join(base[: n // 2 + 4] + fill(n + 4)), " ".join(fill(n + 4) + base[n // 2 :])
+        lines += [head, head, tail, tail, " ".join(base), "  ".join(base), " ".join(other + base[1:]), " ".join(base[:-1] + other)]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, lines)]
+    near = {i for i, a in enumerate(sets) if lines[i] not in lines[:i] and any(lines[i] != lines[j] and 4 * len(a & sets[j]) >= 3 * len(a | sets[j]) for j in range(i))}
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert {r["doc_id"] for r in line_dedup.dedup_lines(df).where("n_near > 0").collect()} == near and len(near) > 50
+
+
 def test_line_join_is_native(docs):
     plan = line_dedup.dedup_lines(docs)._jdf.queryExecution().toString() + mixing.schedule(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
