@@ -227,11 +227,15 @@ def train(docs: DataFrame, text_col: str = "text", fit_rows: int = FIT_ROWS) ->
     labels = fit_labels(codes, counts)
     p = labels.posterior((codes[:, None] // 3 ** np.arange(len(LABELLERS))) % 3)
     posterior = dict(zip(codes.tolist(), p.tolist(), strict=True))
+    keys = publish(voted.distinct(), "quality-keys")  # copies are one text of the sample
+    unlike = {r[0]: r[1] for r in keys.groupBy("pattern").agg(F.count("*").alias("n")).collect()}
     last = {}
     for bad in (True, False):
         own = {c for c, q in posterior.items() if (q > 0.5) == bad}
-        many = lowest_hashes(fit_rows // 2, sum(n for c, n in zip(codes.tolist(), counts.tolist(), strict=True) if c in own))
-        lowest = voted.where(F.col("pattern").isin(own) & (F.col("key") <= F.lit(many))).select("key").distinct()
+        texts = sum(unlike[c] for c in own)
+        lowest = keys.where(F.col("pattern").isin(own) & (F.col("key") <= F.lit(lowest_hashes(fit_rows // 2, texts))))
+        if own and lowest.count() < min(texts, fit_rows // 2):  # as good as never: about twice as many lie below the bound
+            lowest = keys.where(F.col("pattern").isin(own))
         top = lowest.orderBy("key").limit(fit_rows // 2).agg(F.max("key")).first()[0] if own else None
         if top is not None:
             last[bad] = top
