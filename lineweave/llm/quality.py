@@ -30,7 +30,7 @@ NONE, BAD, GOOD = 0, 1, 2
 LABELLERS = (
     ("words that repeat the one before", 0.15, 0.03),
     ("share of the most frequent word", 0.35, 0.2),
-    ("distinct words of the first hundred, each", 0.25, 0.5),
+    ("distinct words of a hundred, each; over all hundreds of a text", 0.25, 0.5),
     ("capitals among letters", 0.5, 0.2),
     ("signs among characters", 0.05, 0.015),
     ("words that are a lone sign", 0.2, 0.02),
@@ -74,12 +74,13 @@ def measure(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     most = np.zeros(n)
     np.maximum.at(most, t[new], runs)
     begin = np.cumsum(n_words) - n_words
-    head = np.arange(len(words)) - np.repeat(begin, n_words) < 100
-    order = np.lexsort((words[head], text[head]))
-    hw, ht = words[head][order], text[head][order]
-    fresh = np.ones(len(hw), bool)
-    fresh[1:] = (hw[1:] != hw[:-1]) | (ht[1:] != ht[:-1])
-    distinct = np.bincount(ht[fresh], minlength=n) / np.maximum(np.minimum(n_words, 100), 1)
+    hundreds = -(-n_words // 100)
+    of_hundred = np.repeat(np.cumsum(hundreds) - hundreds, n_words) + (np.arange(len(words)) - np.repeat(begin, n_words)) // 100
+    order = np.lexsort((words, of_hundred))
+    w, h = words[order], of_hundred[order]
+    fresh = np.ones(len(w), bool)
+    fresh[1:] = (w[1:] != w[:-1]) | (h[1:] != h[:-1])
+    distinct = np.bincount(text[order][fresh], minlength=n) / some  # the mean over hundreds, by their words
     blank = (shape == 3) | (shape == 4)
     sign = shape >= 7
     ends = np.flatnonzero(~blank[:-1] & blank[1:])  # last byte of each word

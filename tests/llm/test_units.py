@@ -160,6 +160,13 @@ def test_warc_records():
     assert len(warc_index.digest32(b"")) == 32 and hashlib.sha1(b"").digest()
 
 
+def test_distinct_words_of_whole_texts():
+    varied, few = [f"w{i}" for i in range(100)], [f"v{i % 20}" for i in range(1900)]
+    m, *_ = quality.measure([" ".join(x).encode() for x in (varied + few, few[:100] + [f"w{i}" for i in range(1900)], varied[:50], [])])
+    assert np.allclose(m[:, 2], [(100 + 19 * 20) / 2000, (20 + 1900) / 2000, 1, 1])
+    assert quality.votes(m)[:2, 2].tolist() == [quality.BAD, quality.GOOD]
+
+
 def test_label_model_and_measures():
     texts = ["The cat sat on the mat, and it was warm. The dog came in and sat by the fire too.", "No No No No No No No No No No de de de de de de de", "LOUD!! WORDS!! ALL!! THE!! WAY!! DOWN!! HERE!! NOW!!", "", "a | b | c | d | e | f | g | h | i"]
     v = quality.votes(quality.measure([t.encode() for t in texts])[0])
