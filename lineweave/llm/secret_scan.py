@@ -1,6 +1,6 @@
 """Secret scans: fixed patterns, and a character convolutional network over every other candidate and its context.
 
-Candidates are runs of 16 or more token characters that hold a digit. The network (one convolution, maximum and mean over places,
+Candidates are runs of 16 or more token characters, or what the patterns leave of one. The network (one convolution, maximum and mean over places,
 a logistic unit) sees a candidate between the characters before and after it, long ones window by window. It is trained in numpy on
 labelled findings made by rule: random keys in the shapes that services issue, against e-mail hosts, card and phone
 numbers, addresses, paths, versions, identifiers and words. Its threshold is the highest one that still recalls RECALL of held-out
@@ -30,7 +30,8 @@ ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # a maximal run of 32 or more is what leftmost matching finds, too
 KINDS = ("assign", "access", "hex", "cnn")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.\-]{16,}")
+LEAST, JOINS = 16, "/_=.-"
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=.\-]{{{LEAST},}}")
 #: Characters of context before, of the candidate at a time, and after; filters; filter width; size of an embedding.
 BEFORE, WINDOW, AFTER, FILTERS, WIDTH, EMBED = 24, 48, 8, 16, 5, 8
 #: Labelled findings that are made, passes over them, share of held-out positives that the threshold must recall.
@@ -54,9 +55,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Runs that hold a digit and that no pattern covers."""
-    found = [(m.start(), m.end()) for m in CANDIDATE.finditer(text) if any(c in m[0] for c in string.digits)]
-    return [(s, e) for s, e in found if not any(s < be and bs < e for bs, _, be in base)] if base else found
+    """Runs, and of those that patterns cover in part what is left, without one joining sign at the cut."""
+    found = [(m.start(), m.end()) for m in CANDIDATE.finditer(text)]
+    if not base:
+        return found
+    out = []
+    for s, e in found:
+        at, cut = s, False
+        for bs, be in [*((bs, be) for bs, _, be in base if s < be and bs < e), (e, e)]:  # by start
+            left, right = at + (cut and at < bs and text[at] in JOINS), min(bs, e)
+            right -= bs < e and right > left and text[right - 1] in JOINS
+            if right - left >= (LEAST if cut or bs < e else 1):
+                out.append((left, right))
+            at, cut = max(at, be), True
+    return out
 
 
 def windows(text: str, start: int, end: int) -> list[str]:
@@ -117,14 +129,19 @@ def findings(rng: np.random.Generator, n: int) -> tuple[list[str], np.ndarray]:
     pick = lambda chars, k: "".join(rng.choice(list(chars), k))
     syllables = ["an", "er", "the", "ion", "in", "es", "ou", "re", "st", "ha", "be", "de", "la", "que", "sch", "ung", "ent", "os", "ble", "ly"]
     word = lambda: "".join(rng.choice(syllables, rng.integers(1, 5)))
+    parts = [*syllables, "lich", "keit", "heit", "ver", "ein", "die", "und", "ment", "eur", "eau", "aire", "ado", "dad", "cion", "ness", "ship", "ful", "pre", "pro", "con", "ge", "auf", "pf", "ch"]
+    longer = lambda: "".join(rng.choice(parts, rng.integers(4, 9)))
     both, lower, upper, hexa, digit = string.ascii_letters + string.digits, string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits, "0123456789abcdef", string.digits
     secrets = [
         lambda: pick(both, rng.integers(20, 65)), lambda: pick(both + "+/", rng.integers(20, 65)) + "=" * int(rng.integers(0, 3)), lambda: pick(upper, rng.integers(20, 41)), lambda: pick(hexa, rng.integers(20, 32)),
         lambda: f"ghp_{pick(both, 36)}", lambda: f"xoxb-{pick(digit, 11)}-{pick(both, 24)}", lambda: f"sk_live_{pick(both, 24)}", lambda: f"eyJ{pick(both + '_-', 30)}.{pick(both + '_-', 40)}.{pick(both + '_-', 30)}", lambda: pick(lower, rng.integers(24, 48)), lambda: pick(both + "_-", rng.integers(22, 50)),
+        lambda: pick([string.ascii_letters, string.ascii_lowercase, string.ascii_uppercase][rng.integers(0, 3)], rng.integers(16, 41)),
     ]
     others = [
         lambda: pick(digit, rng.integers(16, 20)), lambda: f"{pick(string.ascii_lowercase, rng.integers(3, 9))}.{rng.integers(0, 99)}@{rng.choice(['mail', 'mx', 'smtp', 'host'])}{rng.integers(0, 99)}.{rng.choice(['example', word(), word() + '-' + word()])}.{rng.choice(['com', 'org', 'net', 'de', 'co.uk'])}", lambda: f"www{rng.integers(0, 9)}.{word()}.{rng.choice(['com', 'net', 'fr'])}", lambda: f"{word()}.{rng.integers(0, 99)}.{word()}.example.org", lambda: "-".join([pick(digit, 4)] * 4), lambda: f"{rng.integers(1990, 2030)}-0{rng.integers(1, 9)}-{rng.integers(10, 28)}.{word()}{word()}",
         lambda: f"/{word()}/{word()}/{rng.integers(0, 9999)}/{word()}.html", lambda: f"{word()}_{word()}_{word()}_{rng.integers(0, 99)}", lambda: f"{word().title()}{word().title()}{word().title()}{rng.integers(0, 999)}", lambda: f"{word()}-{word()}-{rng.integers(0, 9999)}-{word()}", lambda: f"{word()}.{word()}.v{rng.integers(0, 9)}.{rng.integers(0, 9)}.{rng.integers(0, 99)}", lambda: word() * 4 + str(rng.integers(0, 99)), lambda: "=" * int(rng.integers(16, 30)) + str(rng.integers(0, 9)),
+        lambda: str(rng.choice(["-", "_", ".", "=", "/", ""])).join(word() for _ in range(rng.integers(4, 9))), lambda: str(rng.choice(list("=-._+"))) * int(rng.integers(16, 80)), lambda: f"www.{word()}{word()}.{rng.choice(['com', 'net', 'fr'])}/{word()}/{word()}", lambda: "".join(word().title() for _ in range(rng.integers(4, 8))),
+        lambda: longer(), lambda: longer().title(), lambda: longer().upper() + str(rng.choice(["", ".", "-", "..."])),
     ]
     leads = ["key: ", "auth ", "Bearer ", "client_id=", "credential ", "", "", "", "", "see ", "at ", "host ", "id ", "no. ", "call ", "of "]
     items, labels = [], []
@@ -134,7 +151,7 @@ def findings(rng: np.random.Generator, n: int) -> tuple[list[str], np.ndarray]:
         value = make[rng.integers(0, len(make))]()
         text = " ".join(word() for _ in range(5)) + " " + str(rng.choice(leads)) + value + " " + " ".join(word() for _ in range(2))
         at = text.index(value)
-        found = [(m.start(), m.end()) for m in CANDIDATE.finditer(text) if m.start() <= at + len(value) - 1 and m.end() > at]
+        found = [(b, e) for b, e in candidates(text, base_spans(text)) if b <= at + len(value) - 1 and e > at]
         for s, e in found[:1]:
             items += windows(text, s, e)[:1]
             labels.append(label)
