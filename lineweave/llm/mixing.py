@@ -57,15 +57,15 @@ def period_slots(parts: DataFrame, period: int = PERIOD) -> DataFrame:
 def schedule(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", period: int = PERIOD, block_chars: int = BLOCK_CHARS, seed: str = "mix") -> DataFrame:
     """docs with start (characters of its source before it), block, release, deadline and slot. Rows ordered by (slot, start) are the mix.
 
-    weights: (source, weight) for the sources in docs, at most period / 2 of them; sources that it lacks get no place and raise an
-    error, as rows are never dropped.
+    weights: (source, weight) for the sources in docs; for more than period / 2 of them the period is a multiple of the given one. Sources
+    that it lacks get no place and raise an error, as rows are never dropped.
     """
     if clash := set(ADDED) & set(docs.columns):
         raise ValueError(f"columns {sorted(clash)} would be overwritten")
     weights = volume_weights(docs, source_col, text_col) if weights is None else weights
+    weights = publish(weights.select("source", "weight"), "mix-weights")
+    period *= max(1, -(-2 * weights.count() // period))  # two slots a source at least
     parts = publish(shares(weights, period), "mix-shares")
-    if parts.count() > period // 2:
-        raise ValueError(f"{period} slots are too few for so many sources")
     plan = publish(period_slots(parts, period), "mix-period")  # period slots in all
 
     order = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))

@@ -144,6 +144,13 @@ def test_mixing(docs, empty, spark):
         mixing.schedule(docs, weights=weights.where("source <> 's1'")).collect()
 
 
+def test_mixing_of_more_sources_than_half_a_period(spark):
+    many = spark.createDataFrame([(i, "x" * 30, f"s{i % 60}") for i in range(240)], "doc_id long, text string, source string")
+    rows = mixing.schedule(many, period=20, block_chars=31).collect()  # a document is a block
+    assert len(rows) == 240 and all(r["release"] <= r["slot"] < r["deadline"] for r in rows)
+    assert sorted(r["slot"] for r in rows) == list(range(240))
+
+
 def test_packing(docs, empty):
     rows = packing.pack(docs, capacity=256).collect()
     places, of = defaultdict(list), defaultdict(list)
