@@ -139,8 +139,13 @@ def hints(surface: Column) -> Column:
 
 
 def word_frequencies(tokens: DataFrame) -> DataFrame:
-    """(norm, freq, share): words of three characters or more and their count, as a share of the most frequent one's."""
-    counts = words(tokens).where((F.length("norm") > 2) & ~F.col("norm").rlike(r"^\d+$")).groupBy("norm").agg(F.count("*").alias("freq"))
+    """(norm, freq, share): words of three characters or more and their count, as a share of the most frequent one's.
+
+    Tokens are counted as they are written first; kind and normal form are found once for each distinct one.
+    """
+    raw = tokens.groupBy("text").agg(F.count("*").alias("freq")).where(X.token_kind(F.col("text")) == "word")
+    normed = raw.select(X.normalize_hebrew(F.lower("text")).alias("norm"), "freq").groupBy("norm").agg(F.sum("freq").alias("freq"))
+    counts = stored(normed.where((F.length("norm") > 2) & ~F.col("norm").rlike(r"^\d+$")), "frequencies")
     top = counts.agg(F.max("freq").alias("top"))  # one row
     return counts.crossJoin(F.broadcast(top)).select("norm", "freq", (F.col("freq") / F.col("top")).alias("share"))
 

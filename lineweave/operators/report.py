@@ -13,6 +13,14 @@ def line_stats(normalized: DataFrame, tokens: DataFrame) -> DataFrame:
     return n0.crossJoin(t1).select("lines", "tokens", F.when(F.col("lines") > 0, F.round(F.col("tokens") / F.col("lines"), 6)).otherwise(F.lit(0.0)).alias("avg_tokens"), "pairs", "numbers")
 
 
+def run_summary(normalized: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(nth, metric, value) rows of line_stats, as a run shows them at its end."""
+    names = {"lines": "Lines Processed", "pairs": "Total Pairs Found", "numbers": "Total Numbers", "tokens": "Total Tokens"}
+    shown = [F.struct(F.lit(n).alias("metric"), F.col(c).cast("string").alias("value")) for c, n in names.items()]
+    shown.append(F.struct(F.lit("Avg Tokens/Line").alias("metric"), F.format_string("%.1f", "avg_tokens").alias("value")))
+    return line_stats(normalized, tokens).select(F.posexplode(F.array(*shown)).alias("nth", "m")).select("nth", "m.*")
+
+
 def lexicon_gap(entries: DataFrame, surfaces: DataFrame) -> DataFrame:
     """Entries whose label is no surface."""
     return entries.join(surfaces.select("surface"), F.lower(entries.label) == F.col("surface"), "left_anti")

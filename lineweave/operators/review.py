@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 
 OPS = "array<struct<op:string,after_idx:int,first:int,last:int>>"
+#: What validate() enforces, for a reviewer.
 RULES = (
-    "Numbers keep their values and their order.",
-    "Pairs keep both values and their separator.",
-    "No character may be lost; words may only be split or joined.",
-    "Tooth groups use approved tooth numbers only.",
-    "In doubt, ambiguous is true.",
+    "An edit is insert_space after a token or merge_tokens of a range, with indexes that the line has.",
+    "A merge may not hold a number or a pair, and no space goes into or after a pair.",
+    "Digits stay as they are, none added, lost or changed.",
+    "Tooth numbers come from the approved list.",
+    "Set ambiguous where the line can be read in more than one way.",
 )
 
 
@@ -121,6 +122,13 @@ def guard_terms(terms: Column, most: int = 3) -> Column:
     return F.slice(F.transform(fine, lambda t: F.regexp_replace(t, r"\s+", " ")), 1, most)
 
 
+def hint_prompt(lines: DataFrame, most: int = 20) -> DataFrame:
+    """Adds `hint_prompt`: the line's view and its first tokens, as an assistant is asked for hints; how many is part of the prompt's format."""
+    told = F.transform(F.slice("tokens", 1, most), lambda t: F.format_string("[%d] %s (%s)", t["idx"], t["text"], t["kind"]))
+    ask_for = F.lit('Say of which kind these tokens are. Return JSON with "token_hints" (idx, device_hint, tooth_group, clinical_term), "overall_intent" and "detected_procedures"; change no token.')
+    return lines.withColumn("hint_prompt", F.concat_ws("\n\n", ask_for, "view", F.concat(F.lit("Tokens:\n"), F.array_join(told, "\n"))))
+
+
 def attach_hints(tokens: DataFrame, hints: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     """Tokens with the last hint (highest seq) given for them; a hint's tooth group stays only if the dictionary has it, with its numbers."""
     last = hints.where("idx is not null").groupBy(*keys, "idx").agg(F.max_by(F.struct("hint", "tooth_group"), "seq").alias("h"))

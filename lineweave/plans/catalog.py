@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -9,11 +10,12 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import assist, lexicon, match, rank, report, review, vector
-from ..operators.normalize import normalize
-from ..operators.tokenize import neighbours, of_kind, token_arrays, tokens
-from ..sources.durable import stored
+from ..operators.normalize import normalize, only
+from ..operators.tokenize import neighbours, of_kind, tokens, with_tokens
+from ..sources import tables
+from ..sources.durable import numbered, shared_folder, stored
 from ..sources.tables import lines_of, table
-from . import linking
+from . import linking, text_stage
 
 #: Letters that stand for a to z in notes made from part names.
 LATIN, HEBREW = "abcdefghijklmnopqrstuvwxyz", "אבגדהוזחטיכלמנסעפצקרשתםןףץ"
@@ -74,10 +76,9 @@ def entries(spark: SparkSession, d: str) -> DataFrame:
     """(seq, iri, label, synonyms, definition): a lexicon of the words of benchmark, four letters and more, and of its items' first two words."""
     words = table(spark, d, "benchmark").select(F.explode(F.array_distinct(X.find_all(F.lower("text"), "([a-z]{4,})"))).alias("label")).distinct()
     pairs = table(spark, d, "benchmark").select(F.lower(F.regexp_extract("text", r"^([A-Za-z]+ [A-Za-z]+)", 1)).alias("label")).where("label <> ''").distinct()
-    both = words.unionByName(pairs)
-    seq = F.row_number().over(Window.orderBy("label")) - 1  # a dictionary
+    both = words.unionByName(pairs).distinct()
     reverse = F.when(F.length("label") % 3 == 0, F.array(F.reverse("label"))).otherwise(F.array().cast("array<string>"))
-    return both.select(seq.cast("long").alias("seq"), F.concat(F.lit("W:"), "label").alias("iri"), "label", reverse.alias("synonyms"), F.lit("").alias("definition"))
+    return numbered(both, "label").select("seq", F.concat(F.lit("W:"), "label").alias("iri"), "label", reverse.alias("synonyms"), F.lit("").alias("definition"))
 
 
 def surfaces(spark: SparkSession, d: str) -> DataFrame:
@@ -126,9 +127,7 @@ def ranked(spark: SparkSession, d: str) -> DataFrame:
 
 def op_lines(spark: SparkSession, d: str) -> DataFrame:
     """Notes of the first line numbers with edits derived from their keys."""
-    n = notes(spark, d)
-    t = tokens(normalize(n, compose=False), ["key"])
-    lines = normalize(n, compose=False).join(token_arrays(t, ["key"]), "key")
+    lines = with_tokens(normalize(notes(spark, d), compose=False))
     a, b = (F.col("l_linenumber") % 6 - 1).cast("int"), (F.col("p_size") % 5).cast("int")
     none = F.lit(None).cast("int")
     ops = F.array(F.struct(F.lit("insert_space").alias("op"), a.alias("after_idx"), none.alias("first"), none.alias("last")), F.struct(F.when(F.col("p_size") % 11 == 0, "erase").otherwise("merge_tokens").alias("op"), none.alias("after_idx"), b.alias("first"), (b + F.col("l_linenumber") % 3 - 1).cast("int").alias("last")))
@@ -143,21 +142,20 @@ def line_source(s, d):
 
 
 def n0_spacing(s, d):
-    text, said = X.insert_spaces(F.col("raw_text"))
-    return all_lines(s, d).select("key", text.alias("spaced"), F.array_join(said, ";").alias("notes"))
+    return X.spaced_steps(all_lines(s, d), "raw_text", "spaced", "said").select("key", "spaced", F.array_join("said", ";").alias("notes"))
 
 
 def n0_pairs(s, d):
-    p = normalized(s, d).where(F.size("pairs") > 0).select("key", F.posexplode("pairs").alias("n", "p"))
+    p = normalized(s, d).select("key", F.posexplode_outer("pairs").alias("n", "p")).where("n is not null")
     return p.select("key", "n", "p.text", "p.a", "p.b", "p.sep", "p.s", "p.e")
 
 
 def n0_numbers(s, d):
-    return normalized(s, d).where(F.size("numbers") > 0).select("key", F.array_join("numbers", ",").alias("numbers"))
+    return only(normalized(s, d).select("key", F.array_join("numbers", ",").alias("numbers")), "numbers <> ''", "key", "numbers")
 
 
 def n0_units(s, d):
-    return normalized(s, d).where(F.size("units_found") > 0).select("key", "normalized_text", F.array_join("units_found", ",").alias("units"))
+    return only(normalized(s, d).select("key", "normalized_text", F.array_join("units_found", ",").alias("units")), "units <> ''", "key", "normalized_text", "units")
 
 
 def stamps(s, d):
@@ -165,7 +163,7 @@ def stamps(s, d):
 
 
 def n0_dates(s, d):
-    return normalize(stamps(s, d), compose=False).select("event_id", F.array_join("dates", ",").alias("dates")).unionByName(normalized(s, d).where(F.size("dates") > 0).select(F.lit(None).cast("long").alias("event_id"), F.array_join("dates", ",").alias("dates")))
+    return normalize(stamps(s, d), compose=False).select("event_id", F.array_join("dates", ",").alias("dates")).unionByName(only(normalized(s, d).select(F.lit(None).cast("long").alias("event_id"), F.array_join("dates", ",").alias("dates")), "dates <> ''", "event_id", "dates"))
 
 
 def n0_times(s, d):
@@ -174,7 +172,7 @@ def n0_times(s, d):
 
 def n0_nfc(s, d):
     docs = table(s, d, "documents")
-    return docs.select("doc_id", F.md5(F.when(F.col("text").rlike(r"[^\x00-\x7F]"), X.nfc(F.col("text"))).otherwise(F.col("text"))).alias("composed"))
+    return docs.select("doc_id", F.md5(X.nfc(F.col("text"))).alias("composed"))
 
 
 def t1_tokens(s, d):
@@ -190,8 +188,7 @@ def t1_pairs_view(s, d):
 
 
 def marked_view(s, d):
-    n0 = normalize(notes(s, d).select("key", "raw_text"))
-    return review.marked_view(n0.join(token_arrays(tokens(n0, ["key"]), ["key"]), "key")).select("key", "view")
+    return review.marked_view(with_tokens(normalize(notes(s, d).select("key", "raw_text")))).select("key", "view")
 
 
 def validate_ops(s, d):
@@ -208,10 +205,10 @@ def term_cleanup(s, d):
 
 
 def hint_join(s, d):
-    t = talk(s, d).where("idx < 20").select(*TALK, "idx", "text")
+    t = talk(s, d).select(*TALK, "idx", "text")
     turns = table(s, d, "conversations")
     group = lambda n: F.concat(F.lit("g"), ((F.col("conv_id") + n) % 4).cast("string"))
-    hint = lambda n: turns.select(*TALK, ((F.col("turn") + n * (F.col("conv_id") % 2)) % 5).cast("int").alias("idx"), F.lit(n).alias("seq"), F.concat(F.lit("h"), F.lit(str(n))).alias("hint"), group(n).alias("tooth_group"))
+    hint = lambda n: turns.select(*TALK, ((F.col("turn") + n * (F.col("conv_id") % 2)) % 5 * F.lit(9)).cast("int").alias("idx"), F.lit(n).alias("seq"), F.concat(F.lit("h"), F.lit(str(n))).alias("hint"), group(n).alias("tooth_group"))
     groups = table(s, d, "region").select(F.concat(F.lit("g"), F.col("r_regionkey").cast("string")).alias("tooth_group"), F.col("r_name").alias("fdi")).where("tooth_group < 'g3'")
     return review.attach_hints(t, hint(1).unionByName(hint(2)), groups, TALK)
 
@@ -235,7 +232,7 @@ def embed_text(s, d):
 
 
 def gazetteer_surfaces(s, d):
-    lex = lexicon.lexicon(triples(s, d)).withColumn("seq", F.row_number().over(Window.orderBy("iri")).cast("long") - 1)
+    lex = numbered(lexicon.lexicon(triples(s, d)), "iri")
     brands = table(s, d, "part").select(F.col("p_partkey").alias("seq"), F.col("p_brand").alias("key"), F.concat_ws(" ", "p_brand", "p_type").alias("value"))
     return lexicon.lexicon_surfaces(lex).unionByName(lexicon.dictionary_surfaces(brands, "BRAND", "brand_synonym", "synonym", lexicon.SYNONYM, label_is_key=True))
 
@@ -272,8 +269,58 @@ def gaz_ngram(s, d):
 
 
 def gazetteer_hits(s, d):
-    """The whole matching stage; its parts have queries, and SQL, of their own."""
-    return match.gazetteer(talk(s, d), surfaces(s, d), TALK).select("mention_id", *TALK, "s", "e", "iri", "match_type", "score_lex", F.array_join("hints", ",").alias("hints"), "score_prior")
+    hits = match.gazetteer(talk(s, d), surfaces(s, d), TALK)
+    return hits.select("mention_id", *TALK, "s", "e", "iri", "match_type", "score_lex", F.array_join("hints", ",").alias("hints"), F.round("score_prior", 3).alias("score_prior"))
+
+
+def gaz_window_fuzzy(s, d):
+    t = talk(s, d)
+    words = match.words(t).groupBy("norm").agg(F.count("*").alias("n")).select(F.col("norm").alias("surf"), "n")
+    return match.window_fuzzy(words, surfaces(s, d)).select("surf", "n", "iri", "score_lex")
+
+
+def gaz_priors(s, d):
+    t = talk(s, d)
+    hits = match.exact(match.words(t), surfaces(s, d)).select(*TALK, "s", "e", F.array("idx").alias("idxs"), "iri")
+    return match.priors(hits, t, TALK).select(*TALK, "s", "e", "iri", F.round("score_prior", 3).alias("score_prior"))
+
+
+def gaz_build(s, d):
+    """Surfaces of all kinds of dictionaries, made from part, nation and supplier."""
+    part, nation = table(s, d, "part"), table(s, d, "nation")
+    pair = lambda df, seq, key, value: df.select(seq.cast("long").alias("seq"), key.alias("key"), value.alias("value"))
+    brands = pair(part, F.col("p_partkey"), F.col("p_brand"), F.concat_ws(" ", "p_brand", "p_type"))
+    abbreviations = pair(nation, F.col("n_nationkey"), F.concat(F.lit("ab"), F.col("n_nationkey").cast("string")), F.col("n_name"))
+    mapped = F.when(F.col("n_nationkey") % 3 == 0, lexicon_prefix("OHD_9")).otherwise(F.concat(F.lit("DEVICE:"), F.col("n_nationkey").cast("string")))
+    aliases = nation.select(F.col("n_nationkey").cast("long").alias("seq"), F.when(F.col("n_nationkey") % 2 == 0, F.lower("n_name")).otherwise(F.concat(F.lit("9q9"), "n_name", F.lit("9q9"))).alias("alias"), mapped.alias("mapped"))
+    he2en = pair(part.where("p_partkey <= 50"), F.col("p_partkey"), F.translate(F.split_part("p_name", F.lit(" "), F.lit(1)), LATIN, HEBREW), F.concat(F.split_part("p_name", F.lit(" "), F.lit(1)), F.when(F.col("p_partkey") % 2 == 0, "9q9").otherwise(""), F.col("p_partkey").cast("string")))
+    got = lexicon.build_surfaces(numbered(lexicon.lexicon(triples(s, d)), "iri"), abbreviations, brands, aliases, he2en)
+    return got.select("surface", "iri", "label", "match_type", "score_lex", "iri_source")
+
+
+def hebrew_text(s, d):
+    n = notes(s, d)
+    return n.select("key", X.normalize_hebrew(F.col("raw_text")).alias("norm"), X.is_mostly_hebrew(F.col("raw_text")).alias("hebrew"), X.is_mostly_hebrew(F.concat(F.lit("ab"), F.split_part("raw_text", F.lit(" "), F.lit(1)))).alias("mixed"))
+
+
+def fdi_rule(s, d):
+    fdi = F.array(F.col("p_size").cast("string"), (F.col("p_partkey") % 90).cast("string"))
+    lines = table(s, d, "part").select("p_partkey", fdi.alias("fdi"), F.col("p_name").alias("normalized_text"), F.array().cast("array<struct<idx:int,text:string,kind:string>>").alias("tokens"), F.array().cast(review.OPS).alias("ops"))
+    known = F.transform(F.sequence(F.lit(11), F.lit(48)), lambda i: i.cast("string"))
+    return review.validate(lines, fdi_col="fdi", valid_fdi=known).select("p_partkey", F.array_join("errors", ";").alias("errors"), "valid")
+
+
+def op_survivors(s, d):
+    done = review.apply_ops(op_lines(s, d)).withColumn("after", F.regexp_replace("edited", r"\d$", ""))
+    return review.survivors(done.withColumn("after", F.replace("after", F.lit("1"), F.lit(""))), "after").select("key", F.array_join("missing", ";").alias("missing"))
+
+
+def hint_prompt(s, d):
+    return review.hint_prompt(review.marked_view(with_tokens(normalize(notes(s, d).select("key", "raw_text"))))).select("key", F.md5("hint_prompt").alias("prompt"))
+
+
+def text_merged(s, d):
+    return text_stage.run(notes(s, d).select("key", "raw_text"), ["key"]).select("key", "normalized_text", F.size("tokens").alias("n_tokens"), F.size("pairs").alias("n_pairs"), F.size("numbers").alias("n_numbers"))
 
 
 def placeholder_suppress(s, d):
@@ -325,10 +372,16 @@ def vec_hist(s, d):
     return vector.timing_histogram(table(s, d, "events"), "value")
 
 
+def lengths_encoder(texts: list[str]):
+    """Characters, spaces and one: an encoder that SQL can express, too."""
+    import numpy as np
+
+    return np.array([[len(t), t.count(" "), 1.0] for t in texts]).reshape(-1, 3)
+
+
 def vec_encode(s, d):
-    """Encoder beyond SQL: its rows are checked in tests."""
-    t = vector.encode(lexicon.embedding_text(lexicon.lexicon(triples(s, d))), "text", vector.stub_encoder(), normalize=True)
-    return t.select("iri", F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x), 4).alias("length"))
+    t = vector.encode(lexicon.embedding_text(lexicon.lexicon(triples(s, d))), "text", lengths_encoder, normalize=True)
+    return t.select("iri", *(F.round(F.col("embedding")[i].cast("double"), 4).alias(n) for i, n in enumerate(("chars", "spaces", "one"))))
 
 
 def hybrid_attach(s, d):
@@ -398,17 +451,99 @@ def nested_items(s, d):
 
 
 def linked_mentions(s, d):
-    """The linking plan end to end, with the offline encoder over the lexicon's labels; tests check it."""
+    """The linking plan end to end, with the offline encoder over the lexicon's labels; beyond SQL, tests check it."""
     index = vector.encode(lexicon.embedding_text(entries(s, d)), "text", vector.stub_encoder(), normalize=True).select("iri", "label", "embedding")
     return linking.link(talk(s, d), surfaces(s, d), index, TALK).select(*TALK, "mention_id", "surface", "s", "e", "iri", F.round("score_final", 6).alias("score_final"), "confident")
 
 
+def linked_lexical(s, d):
+    """The linking plan without an index."""
+    return linking.link(talk(s, d), surfaces(s, d), None, TALK).select(*TALK, "mention_id", "surface", "s", "e", "iri", F.round("score_final", 6).alias("score_final"), "confident")
+
+
+def vec_query_terms(s, d):
+    """Query texts from canonical terms of some turns and translations of some words."""
+    t = talk(s, d)
+    turns = table(s, d, "conversations").where("turn % 3 = 0")
+    terms = turns.select(*TALK, F.array(F.lit("first"), F.col("conv_id").cast("string"), F.lit("third"), F.lit("fourth")).alias("canonical_terms"))
+    he2en = match.words(t).select("text").distinct().where("length(text) = 4").select(F.lit(0).alias("seq"), F.col("text").alias("key"), F.concat(F.lit("en "), "text").alias("value"))
+    return linking.queries(t, TALK, terms, he2en).select(*TALK, "idx", "query")
+
+
+def force_vectors(s, d):
+    return rank.needs_vectors(ranked_inputs(s, d)[1], KEY)
+
+
+def best_point(s, d):
+    return rank.best_weights(grid_search(s, d)).select("nth", "w_lex", "w_vec", "w_prior", "accuracy")
+
+
+def run_summary(s, d):
+    n0 = normalize(notes(s, d))
+    return report.run_summary(n0, tokens(n0, ["key"]))
+
+
+def label_sample(s, d):
+    return report.label_sample(lexicon.lexicon(triples(s, d))).select("iri", "label")
+
+
+# --- sources and sinks: written to the shared folder and read back ------------------------------------------------------
+
+
+def _place(s, name: str) -> str:
+    return f"{shared_folder(s)}/lineweave/{name}-{uuid.uuid4().hex}"
+
+
+def jsonl_files(s, d):
+    tables.write_jsonl(table(s, d, "part").select("p_partkey", "p_name", F.array("p_brand", "p_type").alias("tags")), path := _place(s, "jsonl"))
+    return tables.read_jsonl(s, path, "p_partkey long, p_name string, tags array<string>").select("p_partkey", "p_name", F.array_join("tags", "|").alias("tags"))
+
+
+def lexicon_file(s, d):
+    """A lexicon of one file, a fifth of its lines broken or without a label."""
+    n = table(s, d, "nation").orderBy("n_nationkey").coalesce(1)
+    good = F.to_json(F.struct(F.concat(F.lit("N:"), F.col("n_nationkey").cast("string")).alias("iri"), F.col("n_name").alias("label"), F.array(F.lower("n_name")).alias("synonyms")))
+    n.select(F.when(F.col("n_nationkey") % 5 == 0, F.lit('{"iri": "x", ')).when(F.col("n_nationkey") % 5 == 1, F.lit('{"iri": "x"}')).otherwise(good).alias("value")).write.text(path := _place(s, "lexicon"))
+    return tables.read_lexicon(s, path).select("seq", "iri", "label", F.array_join("synonyms", ",").alias("synonyms"), "definition")
+
+
+def dictionary_file(s, d):
+    r = table(s, d, "region").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("r_name", F.array(F.lower("r_name"), F.col("r_regionkey").cast("string")))))).alias("m"))  # one object of five keys
+    r.select(F.to_json("m").alias("value")).coalesce(1).write.text(path := _place(s, "dictionary"))
+    return tables.read_dictionary(s, path, many=True)
+
+
+def ntriples_files(s, d):
+    t = triples(s, d).where("subj not like 'P:%'")
+    literal = F.concat(F.lit('"'), F.replace("obj", F.lit('"'), F.lit('\\"')), F.lit('"'), F.coalesce(F.concat(F.lit("@"), "lang"), F.lit("")))
+    line = F.concat(F.lit("<"), "subj", F.lit("> <"), "pred", F.lit("> "), F.when(F.col("literal"), literal).otherwise(F.concat(F.lit("<"), "obj", F.lit(">"))), F.lit(" ."))
+    t.select(line.alias("value")).write.text(path := _place(s, "triples"))
+    return tables.read_ntriples(s, path)
+
+
+def rdf_xml_file(s, d):
+    n = table(s, d, "nation")
+    name = F.replace(F.replace("n_name", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    node = F.concat(F.lit('<owl:Class rdf:about="N:'), F.col("n_nationkey").cast("string"), F.lit('"><rdfs:label xml:lang="en">'), name, F.lit('</rdfs:label><obo:IAO_0000118>syn '), name, F.lit('</obo:IAO_0000118><obo:IAO_0000115>def '), F.col("n_regionkey").cast("string"), F.lit('</obo:IAO_0000115><rdfs:subClassOf rdf:resource="R:'), F.col("n_regionkey").cast("string"), F.lit('"/></owl:Class>'))
+    whole = F.concat(F.lit('<rdf:RDF xmlns:rdf="r" xmlns:owl="o" xmlns:rdfs="s" xmlns:obo="b">'), F.array_join(F.array_sort(F.collect_list(node)), ""), F.lit("</rdf:RDF>"))  # nations are a small table
+    n.agg(whole.alias("value")).write.text(path := _place(s, "classes"))
+    return tables.read_rdf_xml(s, path)
+
+
+def vector_index_files(s, d):
+    e = table(s, d, "embeddings").select(F.concat(F.lit("V:"), F.col("vec_id").cast("string")).alias("iri"), F.lit("a vector").alias("label"), "embedding")
+    tables.write_vector_index(e, path := _place(s, "vectors"), "driver")
+    facts = tables.read_vector_facts(s, path)
+    return tables.read_vector_index(s, path, "driver").agg(F.count("*").alias("n"), F.countDistinct("iri").alias("iris")).crossJoin(F.broadcast(facts)).select("n", "iris", "dim", "count", "model")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         line_source, n0_spacing, n0_pairs, n0_numbers, n0_units, n0_dates, n0_times, n0_nfc, t1_tokens, t1_kind_counts, t1_pairs_view, marked_view, validate_ops, apply_ops, term_cleanup, hint_join,
         lexicon_build, nodes_full, edges, embed_text, gazetteer_surfaces, gaz_dedupe, resolve_alias, gaz_exact, gaz_phonetic, gaz_fuzzy, gaz_chunks, gaz_ngram, gazetteer_hits, placeholder_suppress, span_filter,
         surface_hints, freq_prior, coverage_stats, vec_topk, vec_rerank, vec_context, vec_hist, vec_encode, hybrid_attach, hybrid_fresh, hybrid_score, hybrid_rank, select_top1, bundles, rescue_gate, rescue_terms,
-        line_stats, lexicon_gap, grid_search, nested_items, linked_mentions,
+        line_stats, lexicon_gap, grid_search, nested_items, linked_mentions, linked_lexical, gaz_window_fuzzy, gaz_priors, gaz_build, hebrew_text, fdi_rule, op_survivors, hint_prompt, text_merged, vec_query_terms,
+        force_vectors, best_point, run_summary, label_sample, jsonl_files, lexicon_file, dictionary_file, ntriples_files, rdf_xml_file, vector_index_files,
     )
 }

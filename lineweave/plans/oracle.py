@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from ..operators.lexicon import VARIANTS
+from ..operators.review import RULES
+
 HE = r"\x{0590}-\x{05FF}"
 PAIR = r"\d+\s*[/\\-]\s*\d+"
 SCAN = rf"""(\s+|{PAIR}|[{HE}]+(?:[-\x{{05BE}}][{HE}]+)*|[a-zA-Z]+(?:-[a-zA-Z]+)*|\d+(?:\.\d+)?|mm|°|cm|%|[.,;:!?()\[\]{{}}\x{{05F4}}"''`]|[\s\S])"""
@@ -205,10 +208,10 @@ SELECT conv_id, turn, idx, array_to_string(near, ' ') AS context, trim(text || '
     "nested_items": """WITH e AS (SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)
 SELECT event_id, CASE WHEN k % 5 > 0 THEN i - 1 END AS n, CASE WHEN k % 5 > 0 THEN CAST(k + i AS INTEGER) END AS tooth, CASE WHEN k % 5 > 0 THEN 'M/' || i END AS surfaces FROM (SELECT *, unnest(CASE WHEN k % 5 > 0 THEN range(1, k % 3 + 2) ELSE [1] END) AS i FROM e)""",
     "hint_join": f"""WITH {TALK},
-h AS (SELECT conv_id, turn, CAST((turn + n * (conv_id % 2)) % 5 AS INTEGER) AS idx, n, 'h' || n AS hint, 'g' || ((conv_id + n) % 4) AS g FROM conversations, (SELECT unnest([1, 2]) AS n)),
+h AS (SELECT conv_id, turn, CAST((turn + n * (conv_id % 2)) % 5 * 9 AS INTEGER) AS idx, n, 'h' || n AS hint, 'g' || ((conv_id + n) % 4) AS g FROM conversations, (SELECT unnest([1, 2]) AS n)),
 l AS (SELECT conv_id, turn, idx, max(n) AS n FROM h GROUP BY ALL),
 d AS (SELECT 'g' || r_regionkey AS g, r_name FROM region WHERE r_regionkey < 3)
-SELECT t.conv_id, t.turn, t.idx, t.text, h.hint, d.g AS tooth_group, d.r_name AS fdi FROM tok t LEFT JOIN l USING (conv_id, turn, idx) LEFT JOIN h ON h.conv_id = t.conv_id AND h.turn = t.turn AND h.idx = t.idx AND h.n = l.n LEFT JOIN d ON d.g = h.g WHERE t.idx < 20""",
+SELECT t.conv_id, t.turn, t.idx, t.text, h.hint, d.g AS tooth_group, d.r_name AS fdi FROM tok t LEFT JOIN l USING (conv_id, turn, idx) LEFT JOIN h ON h.conv_id = t.conv_id AND h.turn = t.turn AND h.idx = t.idx AND h.n = l.n LEFT JOIN d ON d.g = h.g""",
     "gazetteer_surfaces": f"WITH {TRIPLES}, {{SURFACES}} SELECT seq, surface, iri, label, match_type, score_lex, iri_source FROM sf",
     "gaz_dedupe": f"WITH {TRIPLES}, {{SURFACES}} SELECT surface, iri, label, match_type, score_lex FROM (SELECT *, row_number() OVER (PARTITION BY surface ORDER BY CASE match_type WHEN 'label' THEN 1 ELSE 2 END, seq) AS rn FROM sf) WHERE rn = 1",
     "resolve_alias": f"""WITH {ENTRIES},
@@ -230,6 +233,155 @@ x AS (SELECT nth, w_lex, w_vec, w_prior, line_id, mention_id, want, iri, row_num
 SELECT CAST(nth AS INTEGER) AS nth, w_lex, w_vec, w_prior, round(avg(CASE WHEN iri = want THEN 1 ELSE 0 END), 6) AS accuracy, count(*) AS n FROM x WHERE rn = 1 GROUP BY ALL""",
 }
 
+#: Pairs of notes with their spans, by line; numbers; the line's view for a reviewer.
+PAIRS = rf"""
+p0 AS (SELECT key, u, unnest(m) AS p, unnest(generate_series(0, len(m) - 1)) AS n FROM (SELECT key, u, regexp_extract_all(r0, '{PAIR}') AS m FROM n0) WHERE len(m) > 0),
+q0 AS (SELECT key, u, n, regexp_extract(p, '(\d+)\s*([/\\-])\s*(\d+)', 1) AS a, regexp_extract(p, '(\d+)\s*([/\\-])\s*(\d+)', 2) AS sep, regexp_extract(p, '(\d+)\s*([/\\-])\s*(\d+)', 3) AS b FROM p0),
+f0 AS (SELECT *, regexp_extract(u, a || '\s*' || CASE sep WHEN '\' THEN '\\' WHEN '-' THEN '\-' ELSE sep END || '\s*' || b) AS text FROM q0),
+pa AS (SELECT key, n, text, a, b, sep, instr(u, text) - 1 AS s, instr(u, text) - 1 + length(text) AS e FROM f0 WHERE text <> '')"""
+NOTE_TOKENS = f"{NOTES}, al AS (SELECT key, raw_text FROM notes), {STEPS}, {scan('n0', 'key', 't')}, {PAIRS}, nu AS (SELECT key, regexp_extract_all(u, '\\d+') AS numbers FROM n0)"
+
+
+def section(tag: str, body: str) -> str:
+    return f"'<{tag}>' || chr(10) || {body} || chr(10) || '</{tag}>'"
+
+
+def lines(*texts: str) -> str:
+    return " || chr(10) || ".join("'" + t.replace("'", "''") + "'" for t in texts)
+
+
+VIEW = rf"""
+tl AS (SELECT key, string_agg('[' || idx || '] ' || text || ' (' || kind || ', span=[' || s || ', ' || e || '], script=' || coalesce(script, 'None') || ')'
+  || CASE WHEN kind = 'pair' THEN ' [A=' || regexp_extract(text, '^\d+') || ', B=' || regexp_extract(text, '\d+$') || ', sep=' || regexp_extract(text, '[/\\-]') || ']' ELSE '' END, chr(10) ORDER BY idx) AS tl,
+  string_agg('[' || idx || '] ' || text || ' (' || kind || ')', chr(10) ORDER BY idx) FILTER (idx < 20) AS few FROM tok GROUP BY key),
+pl AS (SELECT key, string_agg('- ' || text || ': A=' || a || ', B=' || b || ', separator=''' || sep || ''', span=[' || s || ', ' || e || ']', chr(10) ORDER BY n) AS pl FROM pa GROUP BY key),
+vw AS (SELECT n0.key, few, concat_ws(chr(10) || chr(10),
+  {section("LEGEND", lines("word: letters, with inner hyphens", "number: digits, with decimals", "pair: two numbers and a separator", "unit: mm, cm, °, %", "punct: a mark"))},
+  {section("TEXT", "'Original: ' || raw_text || chr(10) || 'Normalized: ' || t")},
+  {section("TOKENS", "tl")},
+  CASE WHEN pl IS NOT NULL THEN {section("PAIRS", "pl")} END,
+  CASE WHEN len(numbers) > 0 THEN {section("NUMBERS", "'Found numbers: ' || array_to_string(numbers, ', ') || chr(10) || 'Count: ' || len(numbers)")} END,
+  {section("SAFETY_RULES", lines(*(f"{i}. {r}" for i, r in enumerate(RULES, 1))))},
+  {section("INSTRUCTIONS", lines('Return JSON with "ops", "canonical_terms", "tooth_groups", "intent_hints" and "ambiguous", and nothing else.'))}) AS view
+  FROM n0 JOIN tl USING (key) LEFT JOIN pl USING (key) JOIN nu USING (key))"""
+#: Edits of notes: a space after token a, and a merge (or an unknown edit) of tokens b to c.
+OPS = """
+kd AS (SELECT key, list(kind ORDER BY idx) AS kinds, count(*) AS n FROM tok GROUP BY key),
+od AS (SELECT key, kinds, n, CAST(l_linenumber % 6 - 1 AS INTEGER) AS a, CAST(p_size % 5 AS INTEGER) AS b, CAST(p_size % 5 + l_linenumber % 3 - 1 AS INTEGER) AS c, p_size % 11 = 0 AS erase FROM notes JOIN kd USING (key))"""
+EDITED = """
+gp AS (SELECT tok.key, idx, tok.text, n0.t, a, b, c, erase, n, substr(n0.t, tok.e + 1, coalesce(lead(tok.s) OVER (PARTITION BY tok.key ORDER BY idx), length(n0.t)) - tok.e) AS gap, tok.s FROM tok JOIN od USING (key) JOIN n0 ON n0.key = tok.key),
+lf AS (SELECT *, CASE WHEN NOT erase AND b <= idx AND idx < c AND idx < n - 1 AND trim(gap) = '' THEN '' ELSE gap END AS rest FROM gp),
+ed AS (SELECT key, any_value(t) AS t, any_value(substr(t, 1, CAST(s AS BIGINT))) FILTER (idx = 0) || string_agg(text || CASE WHEN idx = a AND NOT starts_with(rest, ' ') THEN ' ' ELSE '' END || rest, '' ORDER BY idx) AS edited FROM lf GROUP BY key)"""
+FREQ = r"""
+fq AS (SELECT norm, count(*) AS freq FROM wd WHERE length(norm) > 2 AND NOT regexp_full_match(norm, '\d+') GROUP BY norm),
+sh AS (SELECT norm, freq / max(freq) OVER () AS share FROM fq)"""
+#: Strings near a surface: one edit apart without joiners, or of 18 and more characters and nine tenths alike. Surfaces are ASCII; any other
+#: character, of which DuckDB compares the bytes, counts as one that they never have.
+NEAR = r"""
+nq AS (SELECT DISTINCT norm, regexp_replace(norm, '[^\x00-\x7F]', '#', 'g') AS plain, regexp_replace(replace(replace(norm, ' ', ''), '-', ''), '[^\x00-\x7F]', '#', 'g') AS qs FROM asked),
+nk AS (SELECT surface, replace(replace(surface, ' ', ''), '-', '') AS ks, iri, label, seq, iri_source FROM srs),
+nf AS (
+  SELECT norm, plain, surface, iri, label, seq, iri_source FROM nq JOIN nk ON norm <> surface AND abs(length(qs) - length(ks)) <= 1 AND damerau_levenshtein(qs, ks) <= 1
+  UNION SELECT norm, plain, surface, iri, label, seq, iri_source FROM nq JOIN nk ON norm <> surface AND length(qs) >= 18 AND length(ks) >= 18 AND abs(length(qs) - length(ks)) * 10 <= greatest(length(qs), length(ks)) AND 1 - levenshtein(qs, ks) / greatest(length(qs), length(ks)) >= 0.9
+),
+nb AS (SELECT *, CASE WHEN length(norm) <= 4 THEN 0.65 ELSE 0.70 END::DOUBLE AS lo, CASE WHEN length(norm) <= 4 THEN 0.88 ELSE 0.85 END::DOUBLE AS hi, 1 - levenshtein(plain, surface) / greatest(length(norm), length(surface)) AS ratio FROM nf),
+ns AS (SELECT *, round(least(hi, greatest(lo, lo + (hi - lo) * ratio)), 4) AS sc FROM nb),
+nt AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY sc DESC, seq) AS rn FROM ns) WHERE rn <= 3)"""
+SOURCED = "srs AS (SELECT *, CASE match_type WHEN 'label' THEN 'ohd_label' ELSE 'ohd_synonym' END AS iri_source FROM srf)"
+HITS = rf"""{TALK}, {WORD}, {ENTRIES}, {SOURCED}, {FREQ},
+ex AS (SELECT conv_id, turn, idx, s, e, r.iri, r.label, match_type, score_lex, iri_source, r.seq FROM wd JOIN srs r ON norm = surface),
+lw AS (SELECT * FROM wd WHERE norm NOT IN (SELECT surface FROM srs)),
+c1 AS (SELECT DISTINCT x, substr(y, 1, 1) || regexp_replace(substr(y, 2), '[aeiou]', '', 'g') AS z FROM (SELECT surface AS x, regexp_replace(surface, '[^A-Za-z]', '', 'g') AS y FROM srs WHERE regexp_full_match(surface, '[A-Za-z ]+') UNION SELECT text, lower(text) FROM wd WHERE regexp_full_match(text, '[A-Za-z]+'))),
+c2 AS (SELECT x, array_to_string(list_filter(string_split(z, ''), lambda c, i: i = 1 OR c <> z[i - 1]), '') AS code FROM c1),
+ph AS (SELECT code, arg_min(struct_pack(iri := iri, label := label, seq := seq, src := iri_source), seq) AS p FROM srs JOIN c2 ON surface = x GROUP BY code),
+so AS (SELECT conv_id, turn, idx, s, e, p.iri, p.label, 'phonetic' AS match_type, 0.83::DOUBLE AS score_lex, p.src, p.seq FROM lw JOIN c2 ON text = x JOIN ph USING (code) WHERE regexp_full_match(text, '[A-Za-z]+')),
+sg AS (SELECT * FROM ex UNION ALL SELECT * FROM so),
+fr AS (SELECT * FROM wd WHERE NOT EXISTS (SELECT 1 FROM sg WHERE sg.conv_id = wd.conv_id AND sg.turn = wd.turn AND sg.idx = wd.idx)),
+ru AS (SELECT *, idx - row_number() OVER (PARTITION BY conv_id, turn ORDER BY idx) AS run FROM fr),
+cu AS (SELECT *, (row_number() OVER (PARTITION BY conv_id, turn, run ORDER BY idx) - 1) // 5 AS chunk FROM ru),
+ch AS (SELECT conv_id, turn, run, chunk, min(s) AS s, max(e) AS e, list(norm ORDER BY idx) AS w, list(idx ORDER BY idx) AS idxs, string_agg(norm, ' ' ORDER BY idx) AS norm FROM cu GROUP BY ALL),
+ci AS (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM ch), ck AS (SELECT *, unnest(range(1, len(w) - i + 2)) AS k FROM ci),
+cm AS (SELECT c.*, r.iri, r.label, match_type, score_lex, iri_source, r.seq, row_number() OVER (PARTITION BY conv_id, turn, run, chunk ORDER BY i, k DESC, r.seq) AS rn FROM ck c JOIN srs r ON array_to_string(w[i:i + k - 1], ' ') = surface),
+inn AS (SELECT * FROM cm WHERE rn = 1),
+asked AS (SELECT * FROM ch WHERE NOT EXISTS (SELECT 1 FROM inn WHERE inn.conv_id = ch.conv_id AND inn.turn = ch.turn AND inn.run = ch.run AND inn.chunk = ch.chunk)),
+{NEAR},
+al AS (
+  SELECT conv_id, turn, s, e, [idx] AS idxs, iri, label, match_type, score_lex, iri_source, seq, 0 AS pass FROM sg
+  UNION ALL SELECT conv_id, turn, s, e, idxs, iri, label, match_type, score_lex, iri_source, seq, 1 FROM inn
+  UNION ALL SELECT conv_id, turn, s, e, idxs, iri, label, 'fuzzy', sc, iri_source, seq, 1 FROM asked JOIN nt USING (norm)
+),
+on1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn, s, e ORDER BY pass, seq) AS rn FROM al) o WHERE rn = 1
+  AND NOT EXISTS (SELECT 1 FROM tok b WHERE b.conv_id = o.conv_id AND b.turn = o.turn AND b.kind IN ('number', 'pair', 'unit') AND b.s < o.e AND b.e > o.s)),
+ix AS (SELECT conv_id, turn, s, e, unnest(idxs) AS idx FROM on1),
+pr AS (SELECT ix.conv_id, ix.turn, ix.s, ix.e, round(avg(share), 4) AS prior FROM ix JOIN wd USING (conv_id, turn, idx) JOIN sh USING (norm) GROUP BY ALL),
+hi AS (SELECT o.*, 'm' || o.conv_id || '.' || o.turn || '_' || o.s || '_' || o.e AS mention_id, coalesce(prior, 0) AS prior FROM on1 o LEFT JOIN pr USING (conv_id, turn, s, e))"""
+RESOLVED = """
+nm AS (SELECT n AS seq, iri, label, lower(label) AS name, 1 AS stage FROM sq UNION ALL SELECT n, iri, label, lower(unnest(synonyms)), 2 FROM sq),
+xr AS (SELECT alias, iri, label, stage, seq, 0 AS size FROM wants JOIN nm ON lower(trim(alias)) = name
+  UNION ALL SELECT alias, iri, label, 3, seq, length(label) FROM wants JOIN nm ON contains(name, lower(trim(alias))) OR contains(lower(trim(alias)), name) WHERE trim(alias) <> ''),
+rs AS (SELECT alias, iri, CASE stage WHEN 1 THEN 'ohd_label' WHEN 2 THEN 'ohd_synonym' ELSE 'resolved_alias' END AS src FROM (SELECT *, row_number() OVER (PARTITION BY alias ORDER BY stage, size, seq) AS rn FROM xr) WHERE rn = 1)"""
+VARIANT_ROWS = "va(seq, alias, held, en) AS (VALUES " + ", ".join(f"({i}, '{a}', '{h}', '{e}')" for i, (a, h, e) in enumerate(VARIANTS)) + ")"
+
+SQL |= {
+    "marked_view": f"WITH {NOTE_TOKENS}, {VIEW} SELECT key, view FROM vw",
+    "hint_prompt": f"""WITH {NOTE_TOKENS}, {VIEW} SELECT key, md5({lines('Say of which kind these tokens are. Return JSON with "token_hints" (idx, device_hint, tooth_group, clinical_term), "overall_intent" and "detected_procedures"; change no token.')}
+  || chr(10) || chr(10) || view || chr(10) || chr(10) || 'Tokens:' || chr(10) || few) AS prompt FROM vw""",
+    "validate_ops": f"""WITH {NOTE_TOKENS}, {OPS},
+er AS (SELECT key, list_sort(CASE WHEN erase THEN ['op:erase'] ELSE
+    list_transform(list_filter(range(b, c + 1), lambda i: i < n AND kinds[i + 1] IN ('number', 'pair')), lambda i: 'number:' || i) || list_transform(list_filter(range(b, c + 1), lambda i: i < n AND kinds[i + 1] = 'pair'), lambda i: 'pair_merge:' || i)
+    || CASE WHEN c > n - 1 THEN ['merge_bounds:' || b || '-' || c] WHEN b > c THEN ['merge_order:' || b || '-' || c] ELSE [] END END
+  || CASE WHEN a < 0 OR a > n - 1 THEN ['insert_range:' || a] WHEN kinds[a + 1] = 'pair' THEN ['pair_insert:' || a] ELSE [] END) AS er FROM od)
+SELECT key, array_to_string(er, ';') AS errors, len(er) = 0 AS valid FROM er""",
+    "apply_ops": f"WITH {NOTE_TOKENS}, {OPS}, {EDITED} SELECT key, edited, list_sort(regexp_extract_all(t, '\\d')) <> list_sort(regexp_extract_all(edited, '\\d')) AS digit_mismatch FROM ed",
+    "op_survivors": f"""WITH {NOTE_TOKENS}, {OPS}, {EDITED},
+af AS (SELECT key, replace(regexp_replace(edited, '\\d$', ''), '1', '') AS x FROM ed),
+pm AS (SELECT key, list('pair:' || text ORDER BY n) AS m FROM pa JOIN af USING (key) WHERE NOT contains(x, text) GROUP BY key)
+SELECT key, array_to_string(list_transform(list_filter(numbers, lambda v: NOT contains(x, v)), lambda v: 'number:' || v) || coalesce(m, []), ';') AS missing FROM af JOIN nu USING (key) LEFT JOIN pm USING (key)""",
+    "text_merged": f"WITH {NOTE_TOKENS}, tn AS (SELECT key, count(*) AS c FROM tok GROUP BY key), pn AS (SELECT key, count(*) AS c FROM pa GROUP BY key) SELECT n0.key, t AS normalized_text, CAST(coalesce(tn.c, 0) AS INTEGER) AS n_tokens, CAST(coalesce(pn.c, 0) AS INTEGER) AS n_pairs, CAST(len(numbers) AS INTEGER) AS n_numbers FROM n0 LEFT JOIN tn USING (key) LEFT JOIN pn USING (key) JOIN nu ON nu.key = n0.key",
+    "run_summary": f"""WITH {NOTE_TOKENS}, c AS (SELECT (SELECT count(*) FROM n0) AS l, (SELECT count(*) FROM tok) AS t, (SELECT count(*) FROM pa) AS p, (SELECT sum(len(numbers)) FROM nu) AS m)
+SELECT CAST(unnest([0, 1, 2, 3, 4]) AS INTEGER) AS nth, unnest(['Lines Processed', 'Total Pairs Found', 'Total Numbers', 'Total Tokens', 'Avg Tokens/Line']) AS metric, unnest([CAST(l AS VARCHAR), CAST(p AS VARCHAR), CAST(CAST(m AS BIGINT) AS VARCHAR), CAST(t AS VARCHAR), printf('%.1f', round(t / l, 6))]) AS value FROM c""",
+    "hebrew_text": rf"""WITH {NOTES}, m AS (SELECT key, raw_text, 'ab' || split_part(raw_text, ' ', 1) AS x FROM notes)
+SELECT key, lower(trim(regexp_replace(translate(raw_text, 'ךםןףץ', 'כמנפצ'), '\s+', ' ', 'g'))) AS norm, length(regexp_replace(raw_text, '[^א-ת]', '', 'g')) * 2 >= length(regexp_replace(raw_text, '[^\p{{L}}]', '', 'g')) AS hebrew,
+  length(regexp_replace(x, '[^א-ת]', '', 'g')) * 2 >= length(regexp_replace(x, '[^\p{{L}}]', '', 'g')) AS mixed FROM m""",
+    "fdi_rule": """WITH e AS (SELECT p_partkey, list_sort(list_transform(list_distinct(list_filter([CAST(p_size AS INTEGER), CAST(p_partkey % 90 AS INTEGER)], lambda x: x < 11 OR x > 48)), lambda x: 'fdi:' || x)) AS er FROM part)
+SELECT p_partkey, array_to_string(er, ';') AS errors, len(er) = 0 AS valid FROM e""",
+    "gazetteer_hits": f"""WITH {HITS} SELECT mention_id, conv_id, turn, s, e, iri, match_type, score_lex, concat_ws(',', CASE WHEN contains(lower(label), 'abutment') OR contains(lower(label), 'implant') OR lower(label) IN ('mu', 'mua') THEN 'device_hint' END,
+  CASE WHEN contains(lower(label), 'caries') THEN 'finding_hint' END, CASE WHEN contains(lower(label), 'zirconia') OR contains(lower(label), 'titanium') THEN 'material_hint' END) AS hints, round(prior, 3) AS score_prior FROM hi""",
+    "linked_lexical": f"WITH {HITS} SELECT conv_id, turn, mention_id, label AS surface, s, e, iri, round(score_lex, 6) AS score_final, score_lex >= 0.75 AS confident FROM hi",
+    "gaz_window_fuzzy": f"WITH {TALK}, {WORD}, {ENTRIES}, {SOURCED}, asked AS (SELECT norm, count(*) AS n FROM wd GROUP BY norm), {NEAR} SELECT norm AS surf, n, iri, sc AS score_lex FROM asked JOIN nt USING (norm)",
+    "gaz_priors": f"WITH {TALK}, {WORD}, {ENTRIES}, {FREQ} SELECT conv_id, turn, s, e, iri, round(round(coalesce(share, 0), 4), 3) AS score_prior FROM wd JOIN srf ON norm = surface LEFT JOIN sh USING (norm)",
+    "gaz_build": f"""WITH {TRIPLES}, {VARIANT_ROWS}, {{SURFACES}},
+vo AS (SELECT 'http://purl.obolibrary.org/obo/' AS v),
+ai AS (SELECT n_nationkey AS seq, CASE WHEN n_nationkey % 2 = 0 THEN lower(n_name) ELSE '9q9' || n_name || '9q9' END AS alias, CASE WHEN n_nationkey % 3 = 0 THEN v || 'OHD_9' ELSE 'DEVICE:' || n_nationkey END AS mapped FROM nation, vo),
+he AS (SELECT p_partkey AS seq, translate(split_part(p_name, ' ', 1), 'abcdefghijklmnopqrstuvwxyz', '{WORDS}') AS k, split_part(p_name, ' ', 1) || CASE WHEN p_partkey % 2 = 0 THEN '9q9' ELSE '' END || p_partkey AS alias FROM part WHERE p_partkey <= 50),
+wants AS (SELECT en AS alias FROM va UNION SELECT alias FROM ai WHERE mapped NOT LIKE 'http%' UNION SELECT alias FROM he), {RESOLVED},
+als AS (
+  SELECT seq, surface, iri, label, match_type, score_lex, iri_source FROM sf WHERE iri_source <> 'brand_synonym'
+  UNION ALL SELECT n_nationkey + 1000000000, 'ab' || n_nationkey, 'ABBR:ab' || n_nationkey, n_name, 'label', 1.0, 'abbreviation' FROM nation
+  UNION ALL SELECT min(p_partkey) + 2000000000, lower(p_brand), 'BRAND:' || p_brand, p_brand, 'label', 1.0, 'brand_label' FROM part GROUP BY p_brand
+  UNION ALL SELECT p_partkey + 2000000001, lower(p_brand || ' ' || p_type), 'BRAND:' || p_brand, p_brand, 'synonym', 0.9, 'brand_synonym' FROM part
+  UNION ALL SELECT va.seq + 3000000000, lower(va.alias), coalesce(iri, held), va.alias, 'label', 1.0, coalesce(src, 'placeholder') FROM va LEFT JOIN rs ON rs.alias = en
+  UNION ALL SELECT ai.seq + 4000000000, lower(ai.alias), coalesce(iri, mapped), ai.alias, 'alias', CASE WHEN iri IS NULL THEN 0.7 ELSE 0.9 END, coalesce(src, 'alias_only') FROM ai LEFT JOIN rs ON rs.alias = ai.alias AND mapped NOT LIKE 'http%'
+  UNION ALL SELECT he.seq + 5000000000, lower(he.alias), coalesce(iri, 'HE2EN:' || k), he.alias, 'he_en_alias', CASE WHEN iri IS NULL THEN 0.7 ELSE 0.9 END, coalesce(src, 'placeholder') FROM he LEFT JOIN rs USING (alias)
+)
+SELECT surface, iri, label, match_type, CAST(score_lex AS DOUBLE) AS score_lex, iri_source FROM (SELECT *, row_number() OVER (PARTITION BY surface ORDER BY CASE WHEN iri_source IN ('alias_only', 'placeholder') THEN 5 WHEN match_type = 'label' THEN 1 WHEN match_type = 'synonym' THEN 2 ELSE 4 END, seq) AS rn FROM als) WHERE rn = 1""",
+    "vec_query_terms": f"""WITH {TALK},
+c AS (SELECT a.conv_id, a.turn, a.idx, any_value(a.text) AS text, any_value(a.kind) AS kind, coalesce(list(b.text ORDER BY b.idx) FILTER (b.idx IS NOT NULL), []) AS near FROM tok a LEFT JOIN tok b ON a.conv_id = b.conv_id AND a.turn = b.turn AND b.idx <> a.idx AND b.idx BETWEEN a.idx - 2 AND a.idx + 2 GROUP BY ALL)
+SELECT conv_id, turn, idx, CASE WHEN turn % 3 = 0 THEN 'first ' || conv_id || ' third' WHEN kind = 'word' AND length(text) = 4 THEN 'en ' || text ELSE trim(text || ' ' || array_to_string(near[1:2], ' ')) END AS query FROM c WHERE kind NOT IN ('number', 'pair', 'unit')""",
+    "vec_encode": f"WITH {TRIPLES}, t AS (SELECT iri, label || CASE WHEN len(synonyms) > 0 THEN ' || ' || array_to_string(synonyms, ' | ') ELSE '' END || CASE WHEN definition <> '' THEN ' ## ' || definition ELSE '' END AS x FROM lex), n AS (SELECT iri, length(x) AS c, length(x) - length(replace(x, ' ', '')) AS w FROM t) SELECT iri, round(c / sqrt(c * c + w * w + 1), 4) AS chars, round(w / sqrt(c * c + w * w + 1), 4) AS spaces, round(1 / sqrt(c * c + w * w + 1), 4) AS one FROM n",
+    "force_vectors": f"WITH {RANKED} SELECT line_id, mention_id, bool_and(iri_source IN ('alias_only', 'placeholder') OR iri LIKE 'DEVICE:%') AS force FROM lexc GROUP BY ALL",
+    "best_point": f"SELECT nth, w_lex, w_vec, w_prior, accuracy FROM ({SQL['grid_search']}) ORDER BY accuracy DESC, nth LIMIT 1",
+    "label_sample": f"WITH {TRIPLES} SELECT iri, label FROM lex WHERE length(label) BETWEEN 4 AND 25 ORDER BY md5('sample' || iri), iri LIMIT 5",
+    "jsonl_files": "SELECT p_partkey, p_name, p_brand || '|' || p_type AS tags FROM part",
+    "lexicon_file": "SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS seq, 'N:' || n_nationkey AS iri, n_name AS label, lower(n_name) AS synonyms, '' AS definition FROM nation WHERE n_nationkey % 5 > 1",
+    "dictionary_file": "SELECT r_name AS key, CAST(0 AS INTEGER) AS nth, lower(r_name) AS value FROM region UNION ALL SELECT r_name, 1, CAST(r_regionkey AS VARCHAR) FROM region",
+    "ntriples_files": f"WITH {TRIPLES} SELECT subj, pred, obj, lang, literal FROM tri WHERE subj NOT LIKE 'P:%'",
+    "rdf_xml_file": """SELECT 'N:' || n_nationkey AS subj, 'rdfs:label' AS pred, n_name AS obj, 'en' AS lang, true AS literal FROM nation
+  UNION ALL SELECT 'N:' || n_nationkey, 'obo:IAO_0000118', 'syn ' || n_name, NULL, true FROM nation UNION ALL SELECT 'N:' || n_nationkey, 'obo:IAO_0000115', 'def ' || n_regionkey, NULL, true FROM nation
+  UNION ALL SELECT 'N:' || n_nationkey, 'rdfs:subClassOf', 'R:' || n_regionkey, NULL, false FROM nation UNION ALL SELECT 'N:' || n_nationkey, 'rdf:type', 'owl:Class', NULL, false FROM nation""",
+    "vector_index_files": "SELECT count(*) AS n, count(DISTINCT vec_id) AS iris, CAST(max(len(embedding)) AS INTEGER) AS dim, count(*) AS count, 'driver' AS model FROM embeddings",
+}
+
 SURFACES = """
 sq AS (SELECT *, row_number() OVER (ORDER BY iri) - 1 AS n FROM lex),
 fn AS (SELECT * FROM sq WHERE length(label) > 2 AND NOT regexp_full_match(label, '[0-9]+')),

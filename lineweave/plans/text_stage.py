@@ -7,14 +7,12 @@ from pyspark.sql import functions as F
 
 from ..operators import assist, review
 from ..operators.normalize import normalize
-from ..operators.tokenize import token_arrays, tokens
+from ..operators.tokenize import with_tokens
 
 
 def run(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """Lines (keys, raw_text) with everything of the text stage, tokens as an array (empty for empty lines)."""
-    n0 = normalize(lines)
-    t1 = token_arrays(tokens(n0, keys), keys)
-    return n0.join(t1, keys, "left")
+    """Lines (keys, raw_text) with everything of the text stage, tokens as an array (empty for empty lines); nothing is shuffled."""
+    return with_tokens(normalize(lines))
 
 
 def orchestrate(lines: DataFrame, keys: list[str], client: assist.Client, valid_fdi: list[str] | None = None) -> DataFrame:

@@ -6,12 +6,15 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a folder of our own where that is unset, as in tests."""
+    """spark.checkpoint.dir; where that is unset, a folder of our own, but only if all of Spark runs on this machine."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.conf.get("spark.master", "local").split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = f"file://{tempfile.mkdtemp(prefix='lineweave-')}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -22,3 +25,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/lineweave/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, *order: str, name: str = "seq") -> DataFrame:
+    """Adds the place of each row, from 0, in an order. Ranges are sorted apart; only their sizes, a row a range, reach the driver."""
+    placed = stored(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()), "ordered")
+    part, at = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes, before = {}, 0
+    for r in sorted(placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()):
+        sizes[r["part"]] = before
+        before += r["n"]
+    start = F.create_map(*(F.lit(x) for pair in sizes.items() for x in pair))[part] if sizes else F.lit(0)
+    return placed.withColumn(name, (start + at).cast("long")).drop("_id")

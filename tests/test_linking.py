@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from lineweave.operators import assist, lexicon, match, rank, report, review, vector
 from lineweave.operators.normalize import normalize
-from lineweave.operators.tokenize import token_arrays, tokens
+from lineweave.operators.tokenize import tokens, with_tokens
 from lineweave.plans import linking, text_stage
-from lineweave.sources import tables
+from lineweave.sources import durable, tables
 from lineweave.streaming import notes
 
 KEYS = ["k"]
@@ -87,7 +87,7 @@ def test_top_k_equals_brute_force(spark):
 
 def lines_with_ops(spark, ops):
     n0 = normalize(spark.createDataFrame([(i, "word 14 18/0 end") for i in range(len(ops))], "k long, raw_text string"))
-    both = n0.join(token_arrays(tokens(n0, KEYS), KEYS), "k")
+    both = with_tokens(n0)
     return both.join(spark.createDataFrame(list(enumerate(ops)), f"k long, ops {review.OPS}"), "k")
 
 
@@ -131,7 +131,140 @@ def test_sources(spark, tmp_path):
     (tmp_path / "s.ndjson").write_text('{"patient_id": "p", "procedure_id": "q", "summary": {"status": "x", "items": [{"tooth": "1", "surfaces": ["M"]}, {"tooth": "2"}]}}\n{"patient_id": "r", "summary": {}}\n', "utf-8")
     assert tables.summary_items(tables.read_summaries(spark, str(tmp_path / "s.ndjson"))).count() == 3
     (tmp_path / "o.xml").write_text('<rdf:RDF xmlns:rdf="r" xmlns:owl="o" xmlns:rdfs="s"><owl:Class rdf:about="i"><rdfs:label xml:lang="en">L</rdfs:label></owl:Class></rdf:RDF>', "utf-8")
-    assert [tuple(r)[:4] for r in tables.read_rdf_xml(spark, str(tmp_path / "o.xml")).collect()] == [("i", "rdfs:label", "L", "en")]
+    assert [tuple(r)[:4] for r in tables.read_rdf_xml(spark, str(tmp_path / "o.xml")).collect()] == [("i", "rdfs:label", "L", "en"), ("i", "rdf:type", "owl:Class", None)]
+    body = '<owl:Class rdf:about="i"><rdf:type rdf:resource="t"/><rdfs:label>a</rdfs:label><rdfs:label xml:lang="de">b</rdfs:label><obo:IAO_0000118>s</obo:IAO_0000118><obo:IAO_0000115>d</obo:IAO_0000115><rdfs:subClassOf rdf:resource="p"/></owl:Class><owl:Class><rdfs:label>no name</rdfs:label></owl:Class>'
+    (tmp_path / "p.xml").write_text(f'<rdf:RDF xmlns:rdf="r" xmlns:owl="o" xmlns:rdfs="s" xmlns:obo="b">{body}</rdf:RDF>', "utf-8")
+    got = {tuple(r) for r in tables.read_rdf_xml(spark, str(tmp_path / "p.xml")).collect()}
+    assert got == {("i", "rdfs:label", "a", None, True), ("i", "rdfs:label", "b", "de", True), ("i", "obo:IAO_0000118", "s", None, True), ("i", "obo:IAO_0000115", "d", None, True), ("i", "rdfs:subClassOf", "p", None, False), ("i", "rdf:type", "t", None, False), ("i", "rdf:type", "owl:Class", None, False)}
+
+
+def test_vector_index_says_what_it_holds(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "A", [1.0, 0.0]), ("b", "B", [0.0, 1.0])], "iri string, label string, embedding array<float>")
+    tables.write_vector_index(rows, str(tmp_path / "x"), "m")
+    assert tuple(tables.read_vector_facts(spark, str(tmp_path / "x")).first()) == (2, 2, "m")
+    assert {r["iri"] for r in tables.read_vector_index(spark, str(tmp_path / "x"), "m").collect()} == {"a", "b"}
+    with pytest.raises(ValueError, match="made by"):
+        tables.read_vector_index(spark, str(tmp_path / "x"), "other")
+    rows.limit(1).write.mode("append").parquet(str(tmp_path / "x" / "rows"))
+    with pytest.raises(ValueError, match="3 rows"):
+        tables.read_vector_index(spark, str(tmp_path / "x"))
+
+
+def test_numbered(spark):
+    df = spark.createDataFrame([(i * 7919 % 1000, "x") for i in range(1000)], "k long, t string").repartition(7)
+    got = durable.numbered(df, "k").collect()
+    assert sorted((r["k"], r["seq"]) for r in got) == [(i, i) for i in range(1000)]
+    assert durable.numbered(df.where("false"), "k").count() == 0
+
+
+def test_containment_equals_all_pairs(spark):
+    names = ["ab", "abc", "b", "dental implant", "implant", "xabcx", "lant den", "a"]
+    entries = spark.createDataFrame([(i, f"I:{i}", n, [n[::-1]] if i % 2 else []) for i, n in enumerate(names)], "seq long, iri string, label string, synonyms array<string>")
+    aliases = ["the dental implant", "c", "bcx", "tal", "q", "", "  ", "ABCD", "z ab z", "implant of b"]
+    got = {r["alias"]: (r["iri"], r["stage"]) for r in lexicon.resolve(spark.createDataFrame([(a,) for a in aliases], "alias string"), entries).collect()}
+    for a in aliases:
+        key = a.strip(" ").lower()
+        hits = [(len(n), i) for i, n in enumerate(names) for m in ([n, n[::-1]] if i % 2 else [n]) if key and key not in names and (key in m or m in key)]
+        assert got.get(a) == ((f"I:{min(hits)[1]}", 3) if hits else None), a
+
+
+def test_resolver_falls_back_to_vectors(spark, entries):
+    index = vector.encode(lexicon.embedding_text(entries), "text", vector.stub_encoder(), normalize=True)
+    a = spark.createDataFrame([("abutnemt",), ("Dental Implant",), ("zirkonia krown",)], "alias string")
+    got = {r["alias"]: (r["iri"], r["stage"]) for r in lexicon.resolve(a, entries, index, vector.stub_encoder()).collect()}
+    assert got == {"abutnemt": (LEXICON[1][1], 4), "Dental Implant": (LEXICON[0][1], 1), "zirkonia krown": (LEXICON[2][1], 4)}
+
+
+def test_queries_take_terms_then_translations(spark):
+    t = toks(spark, ["kappa beta gamma delta", "kappa beta"])
+    terms = spark.createDataFrame([(1, ["one", "two", "three", "four"])], "k long, canonical_terms array<string>")
+    he2en = spark.createDataFrame([(1, "kappa", "second"), (0, "kappa", "first")], "seq long, key string, value string")
+    got = {(r["k"], r["idx"]): r["query"] for r in linking.queries(t, KEYS, terms, he2en).collect()}
+    assert got[0, 0] == "first" and got[0, 1] == "beta kappa gamma" and got[1, 0] == got[1, 1] == "one two three"
+
+
+def test_lines_without_hits_are_searched_again(spark, entries, surfaces):
+    lines = spark.createDataFrame([(0, "14/3"), (1, "implant 5")], "k long, raw_text string")
+
+    def search(q, k):
+        return [[("X:9", "nine", 0.9)] for _ in q]
+
+    t = tokens(normalize(lines), KEYS)
+    out = linking.link(t, surfaces.where("false"), search, KEYS, lines=lines).collect()
+    assert {(r["k"], r["iri"]) for r in out} == {(1, "X:9")}
+    told = linking.rescued(lines, match.gazetteer(t, surfaces.where("false"), KEYS), lines.where("false"), KEYS).collect()
+    assert [(r["k"], r["canonical_terms"]) for r in told] == [(1, ["dental implant"])]
+    said = lambda p: json.dumps({"canonical_terms": ["Crown", "4 mm"], "ops": []})
+    assert [r["canonical_terms"] for r in assist.rescue(lines, client=said).collect()] == [["Crown"], ["Crown"]]
+
+
+def test_retrieval_without_rerank(spark):
+    index = spark.createDataFrame([("far", "l", [10.0, 10.0]), ("near", "l", [1.0, 0.0])], "iri string, label string, embedding array<float>")
+    q = spark.createDataFrame([(0, [1.0, 0.0])], "qid long, q array<float>")
+    first = lambda **o: vector.nearest(q, index, 1, **o).first()["iri"]
+    assert first(by_cosine=False) == "far" and vector.nearest(q, index, 2).where("rank = 1").first()["iri"] == "near"
+
+
+def test_hints_of_a_client(spark):
+    lines = review.hint_prompt(review.marked_view(with_tokens(normalize(spark.createDataFrame([(0, "crown 14"), (1, "word")], "k long, raw_text string")))))
+    prompt = {r["k"]: r["hint_prompt"] for r in lines.collect()}
+    assert "[0] crown (word)\n[1] 14 (number)" in prompt[0] and "<TEXT>" in prompt[0]
+    said = lambda p: json.dumps({"token_hints": [{"idx": 0, "device_hint": "crown", "tooth_group": "g"}, {"idx": 9, "device_hint": "x"}, {"device_hint": "y"}]} if "crown" in p else {"token_hints": []})
+    hints = assist.token_hints(lines, said, KEYS)
+    groups = spark.createDataFrame([("g", "14")], "tooth_group string, fdi string")
+    t = tokens(normalize(spark.createDataFrame([(0, "crown 14"), (1, "word")], "k long, raw_text string")), KEYS)
+    got = {(r["k"], r["idx"]): (r["hint"], r["fdi"]) for r in review.attach_hints(t, hints, groups, KEYS).collect()}
+    assert got == {(0, 0): ("crown", "14"), (0, 1): (None, None), (1, 0): (None, None)}
+
+
+def test_chat_endpoints():
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Server(BaseHTTPRequestHandler):
+        def do_GET(self):
+            self.answer(200, {"models": [{"name": "m"}]}) if self.path == "/api/tags" else self.answer(404, {})
+
+        def do_POST(self):
+            asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            if asked["model"] != "m":
+                return self.answer(404, {"error": f"model {asked['model']} not found"})
+            if self.path != "/v1/chat/completions":
+                return self.answer(404, {"error": "no such path"})
+            return self.answer(200, {"choices": [{"message": {"content": json.dumps({"ops": [], "intent_hints": [m["role"] for m in asked["messages"]]})}}]})
+
+        def answer(self, status, body):
+            self.send_response(status)
+            self.end_headers()
+            self.wfile.write(json.dumps(body).encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}"
+    assert json.loads(assist.http_client(url, "m", system="s", tries=1)("p"))["intent_hints"] == ["system", "user"]
+    assert "no model z" in json.loads(assist.http_client(url, "z")("p"))["intent_hints"][0]
+    assert assist.server_models(url) == ["m"] and assist.detect_server(url)["/api/tags"] == 200
+    server.shutdown()
+    assert json.loads(assist.http_client("http://127.0.0.1:9", "m", tries=1, timeout=1)("p"))["ambiguous"] and assist.server_models("http://127.0.0.1:9", timeout=1) == []
+
+
+def test_surfaces_of_all_dictionaries(spark, entries):
+    pair = lambda *rows: spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "seq long, key string, value string")
+    aliases = spark.createDataFrame([(0, "Abutment", "DEVICE:a"), (1, "qqq", "DEVICE:q"), (2, "rrr", "http://purl.obolibrary.org/obo/OHD_7")], "seq long, alias string, mapped string")
+    got = {r["surface"]: (r["iri"], r["match_type"], r["score_lex"], r["iri_source"]) for r in lexicon.build_surfaces(entries, pair(("ABB", "abutment long")), pair(("Acme", "acme one")), aliases, pair(("כתר", "zirconia crown"), ("קקק", "yyy"))).collect()}
+    assert got["abb"] == ("ABBR:ABB", "label", 1.0, "abbreviation") and got["acme"] == ("BRAND:Acme", "label", 1.0, "brand_label") and got["acme one"] == ("BRAND:Acme", "synonym", 0.9, "brand_synonym")
+    assert got["שתל"] == (LEXICON[0][1], "label", 1.0, "ohd_label") and got["mu"] == (LEXICON[1][1], "label", 1.0, "resolved_alias")
+    assert got["qqq"] == ("DEVICE:q", "alias", 0.7, "alias_only") and got["rrr"] == ("http://purl.obolibrary.org/obo/OHD_7", "alias", 0.7, "alias_only") and got["abutment"][1] == "label"
+    assert got["yyy"] == ("HE2EN:קקק", "he_en_alias", 0.7, "placeholder") and got["zirconia crown"][3] == "ohd_label"
+
+
+def test_what_only_vectors_can_name(spark):
+    rows = [(0, "m1", "DEVICE:1", "resolved_alias"), (0, "m1", "X", "alias_only"), (0, "m2", "X:1", "ohd_label"), (0, "m2", "DEVICE:1", "placeholder")]
+    got = rank.needs_vectors(spark.createDataFrame(rows, "k long, mention_id string, iri string, iri_source string"), KEYS).collect()
+    assert {r["mention_id"]: r["force"] for r in got} == {"m1": True, "m2": False}
 
 
 def test_stream(spark, tmp_path):

@@ -8,7 +8,7 @@ import pytest
 from lineweave.plans import catalog, oracle
 
 D = "/root/testdata/sf0.001"
-FEW = ["line_source", "n0_pairs", "n0_units", "t1_kind_counts", "term_cleanup", "nodes_full", "resolve_alias", "gaz_fuzzy", "gaz_ngram", "vec_topk", "hybrid_rank", "bundles"]
+FEW = ["line_source", "n0_pairs", "n0_units", "t1_kind_counts", "term_cleanup", "nodes_full", "resolve_alias", "gaz_fuzzy", "gaz_ngram", "vec_topk", "hybrid_rank", "bundles", "marked_view", "validate_ops", "apply_ops", "op_survivors", "gazetteer_hits", "linked_lexical", "gaz_build", "hint_join", "text_merged", "fdi_rule", "hebrew_text", "vec_query_terms", "jsonl_files", "lexicon_file", "ntriples_files", "rdf_xml_file", "vector_index_files", "best_point"]
 
 
 def plain(v):
@@ -33,3 +33,4 @@ def test_entry_points():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+    assert all(isinstance(v, str) for v in e.oracle_sql().values()) and all(callable(v) for v in e.queries().values())

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 
 from lineweave.functions import text as X
 from lineweave.operators.normalize import normalize
-from lineweave.operators.tokenize import token_arrays, tokens
+from lineweave.operators.tokenize import token_arrays, tokens, with_tokens
 
 CASES = ["", None, "מולטיוניט שתל14 18/0", "14שתל", "14-16", "13\\15", "מרווח 2ממ", "שיניים 25 27 31 32", "100%", "30° x", "1.5/3", "18/0 18/0", "12/03/24 10:30", "multi-unit 4.3mm", "café"]
 
@@ -16,14 +16,16 @@ CASES = ["", None, "מולטיוניט שתל14 18/0", "14שתל", "14-16", "13\
 def rows(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "k long, raw_text string")
     n0 = normalize(df)
-    both = n0.join(token_arrays(tokens(n0, ["k"]), ["k"]), "k", "left")
-    return {r["k"]: r for r in both.collect()}
+    got = {r["k"]: r for r in with_tokens(n0).collect()}
+    for r in token_arrays(tokens(n0, ["k"]), ["k"]).collect():  # as rows, too
+        assert r["tokens"] == got[r["k"]]["tokens"]
+    return got
 
 
 def test_cases(spark):
     got = rows(spark, CASES)
     of = lambda t: got[CASES.index(t)]
-    assert of("")["normalized_text"] == "" and of(None)["tokens"] is None
+    assert of("")["normalized_text"] == "" and of(None)["tokens"] == []
     r = of("מולטיוניט שתל14 18/0")
     assert r["normalized_text"] == "מולטיוניט שתל 14 18/0" and r["numbers"] == ["14", "18", "0"] and r["notes"] == ["inserted_space_hebrew_digit"]
     assert [tuple(p) for p in r["pairs"]] == [("18/0", "18", "0", "/", 17, 21)]
@@ -56,6 +58,21 @@ def test_invariants(spark):
         assert Counter(re.findall(r"\d", r["raw_text"])) == Counter(re.findall(r"\d", text))
 
 
+def test_spans_of_a_long_line(spark):
+    text = " ".join(f"w{i}" if i % 3 else f"{i}/7" for i in range(3000)) + " " * 300 + "end"
+    r = with_tokens(spark.createDataFrame([(0, text)], "k long, normalized_text string")).first()["tokens"]
+    assert [t["text"] for t in r if t["kind"] == "pair"] == [f"{i}/7" for i in range(0, 3000, 3)] and all(text[t["s"] : t["e"]] == t["text"] for t in r)
+
+
+def test_pairs_with_loose_spacing(spark):
+    cases = ["18 /0 18/0", "1/2/3 2/3", "118/0 18/0", "3 - 4 3-4", "5\\6 5 \\ 6"]
+    got = rows(spark, cases)
+    for i, t in enumerate(cases):
+        for p in got[i]["pairs"]:
+            m = re.search(rf"{p['a']}\s*{re.escape(p['sep'])}\s*{p['b']}", t)
+            assert (p["text"], p["s"], p["e"]) == (m[0], m.start(), m.end())
+
+
 def damerau(a, b):
     d = {(i, 0): i for i in range(len(a) + 1)} | {(0, j): j for j in range(len(b) + 1)}
     for i in range(1, len(a) + 1):
