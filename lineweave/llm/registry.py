@@ -21,13 +21,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
         "op9_source_mixing": mixing.op9_source_mixing,
         "op10_embedding_near_dedup": embedding_dedup.op10_embedding_near_dedup,
+        "secret_patterns": secret_scan.secret_patterns,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op5_secret_scan": secret_scan.op5_secret_scan,
         "op3_line_dedup": line_dedup.OP3_SQL,
+        "secret_patterns": secret_scan.SECRET_PATTERNS_SQL,
         "op6_warc_index": warc_index.OP6_SQL,
         "op7_ngram_jaccard_join": jaccard_join.OP7_SQL,
         "op8_exact_dedup": exact_dedup.OP8_SQL,

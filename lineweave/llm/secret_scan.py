@@ -1,18 +1,21 @@
-"""Secret scans: fixed patterns, and a character convolutional network over every other candidate and its context.
+"""Secret scans: fixed patterns, and a character convolutional network over every candidate and its context.
 
-Candidates are runs of 16 or more token characters, or what the patterns leave of one. The network (one convolution, maximum and mean over places,
-a logistic unit) sees a candidate between the characters before and after it, long ones window by window. It is trained in numpy on
-labelled findings made by rule: random keys in the shapes that services issue, against e-mail hosts, card and phone
-numbers, addresses, paths, versions, identifiers and words. Its threshold is the highest one that still recalls RECALL of held-out
-positives. Candidates above it that no pattern covers are added as kind `cnn`; spans of the patterns always stay.
+Candidates are what the patterns find, runs of 16 or more token characters, and what the patterns leave of one. The network (one convolution,
+maximum and mean over places, a logistic unit) sees a candidate between the characters before and after it, long ones window by
+window, a bounded number of windows at a time. It is trained in numpy on labelled findings made by rule: random keys in the shapes
+that services issue, against e-mail hosts, card and phone numbers, addresses, paths, versions, identifiers and words. Candidates are of
+three classes (digits, letters, both); each class has its own threshold, the highest one that still recalls RECALL of its held-out
+positives, and a class that never held a secret has none. Candidates above it are added as kind `cnn`; spans of the patterns always
+stay, whatever their score.
 
 Cases: null text counts as empty and has no spans; spans are code points, end exclusive; of one kind they never overlap; very
-long texts are scanned whole; repeated rows are scanned alike; columns beyond id and text are ignored.
+long texts and very long runs are scanned whole; repeated rows are scanned alike; columns beyond id and text are ignored.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import string
 from collections.abc import Iterator
@@ -34,8 +37,9 @@ LEAST, JOINS = 16, "/_=.-"
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=.\-]{{{LEAST},}}")
 #: Characters of context before, of the candidate at a time, and after; filters; filter width; size of an embedding.
 BEFORE, WINDOW, AFTER, FILTERS, WIDTH, EMBED = 24, 48, 8, 16, 5, 8
-#: Labelled findings that are made, passes over them, share of held-out positives that the threshold must recall.
-FINDINGS, EPOCHS, RECALL = 6000, 5, 0.97
+#: Labelled findings that are made, passes over them, share of held-out positives that a threshold must recall, windows scored at a time.
+FINDINGS, EPOCHS, RECALL, MOST_WINDOWS = 6000, 5, 0.97, 512
+CLASSES = ("digits", "letters", "both")
 _ALPHABET = string.ascii_letters + string.digits + "+/_=.-:;,\"'@ ()<>\n"
 _CODE = np.full(0x250, len(_ALPHABET) + 1, np.int64)  # other letters and signs share one code; 0 pads
 for _i, _c in enumerate(_ALPHABET, 1):
@@ -71,13 +75,17 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     return out
 
 
-def windows(text: str, start: int, end: int) -> list[str]:
+def class_of(value: str) -> int:
+    """Place in CLASSES: by whether a candidate has digits, letters or both."""
+    digits, letters = any("0" <= c <= "9" for c in value), any("a" <= c.lower() <= "z" for c in value)
+    return 2 if digits and letters else 0 if digits else 1
+
+
+def windows(text: str, start: int, end: int) -> Iterator[str]:
     """What the network sees of a candidate: its context and a window of it, as often as its length needs."""
-    out = []
     for s in range(start, max(start + 1, end - WINDOW // 2), WINDOW // 2):
         before = text[max(0, s - BEFORE) : s].rjust(BEFORE, "\0")
-        out.append(before + text[s : min(end, s + WINDOW)].ljust(WINDOW, "\0") + text[min(end, s + WINDOW) : min(end, s + WINDOW) + AFTER].ljust(AFTER, "\0"))
-    return out
+        yield before + text[s : min(end, s + WINDOW)].ljust(WINDOW, "\0") + text[min(end, s + WINDOW) : min(end, s + WINDOW) + AFTER].ljust(AFTER, "\0")
 
 
 def codes(items: list[str]) -> np.ndarray:
@@ -91,7 +99,7 @@ class Network:
     conv: np.ndarray  # WIDTH * EMBED x FILTERS
     bias: np.ndarray
     out: np.ndarray  # 2 * FILTERS + 1, the last one a bias
-    threshold: float = 0.5
+    thresholds: tuple[float, ...] = (0.5, 0.5, 0.5)  # by class of candidate
 
     def _maps(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         e = self.embed[x]
@@ -124,8 +132,8 @@ class Network:
         return [d_embed, d_conv, d_a.sum((0, 1)), np.append(pooled.T @ d, d.sum())]
 
 
-def findings(rng: np.random.Generator, n: int) -> tuple[list[str], np.ndarray]:
-    """Labelled windows: half of them secrets, half look-alikes, in made-up prose."""
+def findings(rng: np.random.Generator, n: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Labelled windows and their classes: half of them secrets, half look-alikes, in made-up prose."""
     pick = lambda chars, k: "".join(rng.choice(list(chars), k))
     syllables = ["an", "er", "the", "ion", "in", "es", "ou", "re", "st", "ha", "be", "de", "la", "que", "sch", "ung", "ent", "os", "ble", "ly"]
     word = lambda: "".join(rng.choice(syllables, rng.integers(1, 5)))
@@ -144,7 +152,7 @@ def findings(rng: np.random.Generator, n: int) -> tuple[list[str], np.ndarray]:
         lambda: longer(), lambda: longer().title(), lambda: longer().upper() + str(rng.choice(["", ".", "-", "..."])),
     ]
     leads = ["key: ", "auth ", "Bearer ", "client_id=", "credential ", "", "", "", "", "see ", "at ", "host ", "id ", "no. ", "call ", "of "]
-    items, labels = [], []
+    items, labels, kinds = [], [], []
     while len(items) < n:
         label = int(rng.integers(0, 2))
         make = secrets if label else others
@@ -153,16 +161,17 @@ def findings(rng: np.random.Generator, n: int) -> tuple[list[str], np.ndarray]:
         at = text.index(value)
         found = [(b, e) for b, e in candidates(text, base_spans(text)) if b <= at + len(value) - 1 and e > at]
         for s, e in found[:1]:
-            items += windows(text, s, e)[:1]
+            items.append(next(windows(text, s, e)))
             labels.append(label)
-    return items, np.array(labels, float)
+            kinds.append(class_of(text[s:e]))
+    return items, np.array(labels, float), np.array(kinds)
 
 
 @functools.lru_cache(maxsize=1)
 def trained(seed: int = 7) -> Network:
     """The network, trained with Adam and calibrated on a fifth of the findings that training never saw."""
     rng = np.random.default_rng(seed)
-    items, y = findings(rng, FINDINGS)
+    items, y, kinds = findings(rng, FINDINGS)
     x, y = codes(items), y.astype(np.float32)
     cut = len(x) * 4 // 5
     net = Network(*(w.astype(np.float32) for w in (rng.normal(0, 0.5, (_SYMBOLS, EMBED)), rng.normal(0, 0.2, (WIDTH * EMBED, FILTERS)), np.zeros(FILTERS), rng.normal(0, 0.3, 2 * FILTERS + 1))))
@@ -177,21 +186,34 @@ def trained(seed: int = 7) -> Network:
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 w -= 0.01 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    positive = np.sort(net.score(x[cut:])[y[cut:] == 1])
-    net.threshold = float(positive[int((1 - RECALL) * len(positive))])
+    net.thresholds = calibrated(net.score(x[cut:]), y[cut:], kinds[cut:])
     return net
 
 
+def calibrated(score: np.ndarray, y: np.ndarray, kinds: np.ndarray) -> tuple[float, ...]:
+    """By class, the highest threshold that recalls RECALL of the positives; beyond any score where a class has none."""
+    own = [np.sort(score[(y == 1) & (kinds == k)]) for k in range(len(CLASSES))]
+    return tuple(float(p[int((1 - RECALL) * len(p))]) if len(p) else 2.0 for p in own)
+
+
+def scores(text: str, spans: list[tuple[int, int]], net: Network) -> np.ndarray:
+    """The highest score of each span's windows; MOST_WINDOWS of them are held at a time, however long a span is."""
+    best = np.zeros(len(spans))
+    seen = ((i, w) for i, (s, e) in enumerate(spans) for w in windows(text, s, e))
+    while part := list(itertools.islice(seen, MOST_WINDOWS)):
+        np.maximum.at(best, [i for i, _ in part], net.score(codes([w for _, w in part])))
+    return best
+
+
 def scan_text(text: str, net: Network) -> list[tuple[int, int, int, float]]:
     """(start, kind, end, score) of all findings, by start, then kind."""
     base = base_spans(text)
-    out = [(s, k, e, 1.0) for s, k, e in base]
-    cand = candidates(text, base)
-    if cand:
-        seen = [windows(text, s, e) for s, e in cand]
-        score = net.score(codes([w for ws in seen for w in ws]))
-        best = np.maximum.reduceat(score, np.cumsum([0, *map(len, seen)])[:-1])
-        out += [(s, 3, e, float(p)) for (s, e), p in zip(cand, best, strict=True) if p >= net.threshold]
+    free = candidates(text, base)
+    if not base and not free:
+        return []
+    p = scores(text, [(s, e) for s, _, e in base] + free, net).tolist()
+    out = [(s, k, e, x) for (s, k, e), x in zip(base, p, strict=False)]
+    out += [(s, 3, e, x) for (s, e), x in zip(free, p[len(base) :], strict=True) if x >= net.thresholds[class_of(text[s:e])]]
     return sorted(out)
 
 
@@ -211,10 +233,48 @@ def scan(docs: DataFrame, net: Network | None = None, id_col: str = "doc_id", te
     return rows.mapInArrow(run, f"id {kind}, spans array<struct<kind:string,start:bigint,end:bigint,score:double>>")
 
 
+def _digests(found: DataFrame) -> tuple[dict, dict]:
+    """Columns from spans: of the patterns, and of all of them."""
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    one = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    joined = lambda spans: F.array_join(F.transform(spans, one), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "cnn")
+    return {f"n_{k}": of(k) for k in KINDS[:3]} | {"base_sha256": F.sha2(joined(base), 256)}, {"spans": joined(F.col("spans")), "n_cnn": of("cnn")}
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, whole texts."""
     found = scan(table(spark, sf_dir, "documents"))
-    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
-    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    base = F.filter("spans", lambda s: s["kind"] != "cnn")
-    return found.select(F.col("id").alias("doc_id"), of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), of("cnn").alias("n_cnn"))
+    base, more = _digests(found)
+    return found.select(F.col("id").alias("doc_id"), *(c.alias(n) for n, c in (base | more).items()))
+
+
+def secret_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op5_secret_scan that SQL can express: what the fixed patterns find, from the same scan."""
+    found = scan(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), *(c.alias(n) for n, c in _digests(found)[0].items()))
+
+
+#: Letters of the first pattern's words in either case, without a flag that would fold beyond ASCII.
+_WORDS = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token")) + "|[Aa][Pp][Ii]_?[Kk][Ee][Yy]"
+#: Matches in order; each is found again behind the end of the one before it, which gives its place.
+SECRET_PATTERNS_SQL = rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), m AS (
+  SELECT doc_id, text, 0 AS kind, regexp_extract_all(text, '(?:{_WORDS})["'']? *[:=] *["'']?[A-Za-z0-9+/_.=-]+') AS m FROM t
+  UNION ALL SELECT doc_id, text, 1, regexp_extract_all(text, 'AKIA[A-Z0-9]+') FROM t
+  UNION ALL SELECT doc_id, text, 2, regexp_extract_all(text, '[0-9a-f]{{32,}}') FROM t
+), r AS (
+  SELECT doc_id, kind, m, text, 0 AS i, 0::BIGINT AS s, 0::BIGINT AS e FROM m WHERE len(m) > 0
+  UNION ALL
+  SELECT doc_id, kind, m, text, i + 1, e + instr(substr(text, e + 1), m[i + 1]) - 1, e + instr(substr(text, e + 1), m[i + 1]) - 1 + length(m[i + 1]) FROM r WHERE i < len(m)
+), f AS (
+  SELECT doc_id, kind, s, e FROM r WHERE i > 0 AND CASE kind WHEN 0 THEN length(regexp_extract(m[i], '^(?:{_WORDS})["'']? *[:=] *["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 8 WHEN 1 THEN e - s >= 16 ELSE e - s >= 32 END
+), g AS (
+  SELECT doc_id, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS b, count(*) FILTER (kind = 2) AS c,
+    string_agg(CASE kind WHEN 0 THEN 'assign' WHEN 1 THEN 'access' ELSE 'hex' END || ':' || s || ':' || e, ',' ORDER BY s, kind) AS j
+  FROM f GROUP BY doc_id
+)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex, sha256(coalesce(j, '')) AS base_sha256 FROM documents LEFT JOIN g USING (doc_id)
+"""
