@@ -12,8 +12,8 @@ filter returns, for each vector, its number of links and the smallest partner of
 with many vectors are split into pairs of blocks.
 
 Cases: null vectors, null labels, zero vectors, vectors with null or non-finite components link with nothing; vectors of another
-length than most of their label's link with those of that length only; ids are integers, rows that repeat an id are separate vectors of
-equal id; columns beyond those named are ignored.
+length than most of their label's link with those of that length only; ids are integers, rows that repeat an id are vectors of their own
+with links of their own; columns beyond those named are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import components, publish, table
+from .shared import components, discard, publish, table
 
 #: Least cosine of a link; rotations; blocks of a product code; vectors that share a filter by chance; shared filters that a pair at
-#: the least cosine should have; rows of a block of a large filter.
-COSINE, ROTATIONS, BLOCKS, PER_FILTER, SHARED, BLOCK = 0.93, 16, 2, 24, 9.0, 1024
+#: the least cosine should have; rows of a block of a large filter; classes of many copies at most.
+COSINE, ROTATIONS, BLOCKS, PER_FILTER, SHARED, BLOCK, HOT = 0.93, 16, 2, 24, 9.0, 1024, 1000
 
 
 @dataclass(frozen=True)
@@ -190,16 +190,18 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     """(id, n_links, component_id) of each row."""
     kind = "float" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "double"
     form = {"float": "<f4", "double": "<f8"}[kind]  # sent as they are, compared in double precision
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(label_col)).alias("label"), F.col(label_col).isNotNull().alias("labelled"), F.col(vector_col).cast(f"array<{kind}>").alias("v"))
+    plain = F.transform(F.col(vector_col).cast(f"array<{kind}>"), lambda c: c + F.lit(0.0).cast(kind))  # no negative zeros
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(label_col)).alias("label"), F.col(label_col).isNotNull().alias("labelled"), plain.alias("v"))
     finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("v", lambda c: c != 0)
     good = F.coalesce(F.col("labelled") & finite & F.col("id").isNotNull(), F.lit(False))
     fine = rows.where(good).select("id", "label", "v")
     classes = fine.groupBy("label", "v", F.pmod(F.xxhash64("id"), F.lit(32)).alias("salt")).agg(F.min("id").alias("low"), F.count("*").alias("weight")).groupBy("label", "v").agg(F.min("low").alias("low"), F.sum("weight").alias("weight"))
-    classes = publish(classes.select("label", "low", "weight", "v", F.size("v").alias("dim")), "vector-classes")
+    # a class is known by a number of its own, as unlike vectors may have one id
+    classes = publish(classes.select(F.monotonically_increasing_id().alias("cid"), F.xxhash64("label", "v").alias("print"), "label", "low", "weight", "v", F.size("v").alias("dim")), "vector-classes")
     sizes = classes.groupBy("dim", "label").agg(F.count("*").alias("n")).groupBy("dim").agg(F.max("n").alias("n")).collect()  # one row a vector length
     codes = {r["dim"]: design(r["n"], r["dim"], cosine) for r in sizes}
     narrow = "<i4" if all(ROTATIONS * c.words**BLOCKS < 2**31 for c in codes.values()) else "<i8"
-    packed = classes.select("label", "low", "weight", "v").mapInArrow(_pack, "label long, low long, weight long, vector binary")
+    packed = classes.select("label", "cid", "weight", "v").mapInArrow(_pack, "label long, cid long, weight long, vector binary")
     dealt = publish(packed.mapInArrow(_deal(codes, form, narrow), "label long, dim int, filter long, id long, weight long, vector binary, filters binary"), "vector-filters")
     held = dealt.groupBy("label", "dim", "filter").agg(F.count("*").alias("rows")).where("rows > 1").select("label", "dim", "filter", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
     met = dealt.join(held, ["label", "dim", "filter"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
@@ -207,14 +209,20 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     tasks = int(max(256, sum(r["n"] for r in sizes) // 200))
     met = met.withColumn("task", F.pmod(F.xxhash64("label", "filter", "i", "j"), F.lit(tasks))).drop("o", "blocks")
     part = publish(met.groupBy("task").applyInArrow(_compare(cosine, form, narrow), "u long, v long, n long"), "vector-links")
-    links = part.groupBy("u").agg(F.sum("n").alias("near"))
-    comp = components(part.select("u", "v"), "vectors")
-
-    of = classes.select("label", "v", "low", "weight").join(links, F.col("low") == F.col("u"), "left").drop("u").join(comp.withColumnRenamed("id", "cid"), F.col("low") == F.col("cid"), "left")
-    of = of.select("label", "v", (F.coalesce("near", F.lit(0).cast("long")) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "low").alias("component_id"))
-    known = fine.join(of, ["label", "v"]).select("id", "n_links", "component_id")
+    discard(dealt)
+    links = part.groupBy(F.col("u").alias("cid")).agg(F.sum("n").alias("near"))
+    comp = components(part.select("u", "v"), "vectors").select(F.col("id").alias("cid"), "component")
+
+    told = classes.select("cid", "print", "low", "weight").join(links, "cid", "left").join(comp, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    told = publish(told, "vector-told")
+    least = told.groupBy("component").agg(F.min("low").alias("component_id"))  # a component's classes are numbered at will: its least vector is found last
+    of = publish(told.join(least, "component").select("print", (F.coalesce("near", F.lit(0).cast("long")) + F.col("weight") - 1).alias("n_links"), "component_id", "weight"), "vector-classes-told")
+    # rows are joined by a print of their vector, which is not sent; the classes of many rows, a bounded number of them, are broadcast
+    hot = F.broadcast(of.where(F.col("weight") >= max(1000, fine.count() // HOT)).drop("weight"))
+    ids = fine.select("id", F.xxhash64("label", "v").alias("print"))
+    known = ids.join(hot, "print").unionByName(ids.join(hot.select("print"), "print", "left_anti").join(of.drop("weight"), "print")).drop("print")
     rest = rows.where(~good).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return known.unionByName(rest)
+    return known.select("id", "n_links", "component_id").unionByName(rest)
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +231,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = lists.flatten().to_numpy(zero_copy_only=False)
         edge = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
         blobs = [values[i:j].tobytes() for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(blobs, pa.binary())], names=["label", "low", "weight", "vector"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(blobs, pa.binary())], names=["label", "cid", "weight", "vector"])
 
 
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

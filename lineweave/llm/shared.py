@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -14,9 +15,11 @@ SPACE = r"[\x20\x09-\x0D]"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, one of our own, but only if all of Spark runs here."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if spark.conf.get("spark.master", "local").split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = f"file://{tempfile.mkdtemp(prefix='lineweave-')}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -33,6 +36,25 @@ def publish(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes a published table that no later plan reads, and the shuffle files of the plans that made it."""
+    spark = df.sparkSession
+    paths = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    if any("/lineweave/" not in p for p in paths):
+        raise ValueError("only published tables can be discarded")
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    free(spark)
+
+
+def free(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of plans that are done, as it does by itself when the driver's garbage is collected, which may take long."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
