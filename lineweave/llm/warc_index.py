@@ -5,13 +5,14 @@ reversed-host URL key and page: sorted shards of compressed blocks, each shard e
 of each block. A lookup bisects the shards' first keys, then the directory, reads and inflates one block, and range-reads the
 record. Shards' first keys are one entry per task of the index build; nothing else reaches the driver.
 
-Files go through Arrow's file systems to the folder that all machines share, under a name of their own until they are complete,
-so that a task that is run again replaces what it wrote. Of records with equal payloads (SHA-1 and length) of least_bytes or more,
+Files go through Arrow's file systems to the folder that all machines share, under names of their attempt, so that a task that is run again
+never writes over what the index of its first run refers to. Of records with equal payloads (SHA-1 and length) of least_bytes or more,
 the one with the smallest id is a response and the others revisit it.
 
-Cases: a null payload is empty; a null URL has an empty key; rows with a null id are not archived, as a record needs one; rows that repeat
-an id and payload are records of their own and of one type; very long payloads are written and read whole; columns beyond id,
-URL and payload are ignored; an empty table makes no archive and finds nothing.
+Cases: a null payload is empty; a null URL has an empty key; rows with a null id are archived, too: they revisit a page of equal payload that
+has an id, else each is a response, as nothing can refer to it; rows that repeat an id and payload are records of their own and of one
+type; very long payloads are written and read whole; columns beyond id, URL and payload are ignored; an empty table makes no archive
+and finds nothing.
 """
 
 from __future__ import annotations
@@ -32,8 +33,10 @@ from pyspark.sql import functions as F
 
 from .shared import new_path, publish, table
 
-#: Payloads from so many bytes on are written once; index lines of a block; bytes at which an archive ends; date of the records.
-LEAST_BYTES, BLOCK_LINES, ARCHIVE_BYTES, DATE = 0, 256, 1 << 28, "2024-01-01T00:00:00Z"
+#: Payloads from so many bytes on are written once; index lines of a block; bytes at which an archive ends; bytes of records that a task reads; date of the records.
+LEAST_BYTES, BLOCK_LINES, ARCHIVE_BYTES, READ_BYTES, DATE = 0, 256, 1 << 28, 1 << 26, "2024-01-01T00:00:00Z"
+#: In place of an id where there is none.
+NO_ID = -(2**63)
 _SCHEMA = "surt string, id long, archive string, offset long, length long"
 
 
@@ -53,7 +56,7 @@ def record(page: int, url: str, payload: bytes, refers_to: int | None) -> bytes:
     """A record: the HTTP response, or, of a revisit, its head only."""
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = head if refers_to is not None else head + payload
-    fields = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", f"<urn:page:{page}>"), ("WARC-Date", DATE), ("WARC-Target-URI", "".join(url.splitlines())), ("WARC-Payload-Digest", f"sha1:{digest32(payload)}")]
+    fields = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", f"<urn:page:{'' if page == NO_ID else page}>"), ("WARC-Date", DATE), ("WARC-Target-URI", "".join(url.splitlines())), ("WARC-Payload-Digest", f"sha1:{digest32(payload)}")]
     if refers_to is not None:
         fields += [("WARC-Refers-To", f"<urn:page:{refers_to}>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
     fields += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
@@ -112,11 +115,12 @@ def _gzip(data: bytes) -> bytes:
     return z.compress(data) + z.flush()
 
 
-def _task() -> int:
+def _task() -> str:
+    """Name of this attempt of a task, so that a second one never writes over files that index lines of the first refer to."""
     from pyspark import TaskContext
 
     context = TaskContext.get()
-    return context.partitionId() if context else 0
+    return f"{context.partitionId():06d}-{context.taskAttemptId():08d}" if context else "0"
 
 
 def _write(folder: str, archive_bytes: int):
@@ -126,7 +130,7 @@ def _write(folder: str, archive_bytes: int):
             rows = []
             for page, url, key, html, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if out is None:
-                    name = f"pages-{_task():06d}-{part:04d}.warc.gz"
+                    name = f"pages-{_task()}-{part:04d}.warc.gz"
                     out, part = _Out(folder, name), part + 1
                 rows.append((key, page, name, *out.write(_gzip(record(page, url or "", (html or "").encode(), refers)))))
                 if out.at >= archive_bytes:
@@ -153,7 +157,7 @@ def _write_index(folder: str, block_lines: int):
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if out is None:
-                    name = f"index-{_task():06d}.cdx"
+                    name = f"index-{_task()}.cdx"
                     out = _Out(folder, name)
                 lines.append(row)
                 if len(lines) >= block_lines:
@@ -169,10 +173,11 @@ def _write_index(folder: str, block_lines: int):
 
 @dataclass
 class Captures:
-    """Archives and their index: a folder, and (first URL key, first page, name, offset, length) of each shard, in order."""
+    """Archives and their index: a folder, (first URL key, first page, name, offset, length) of each shard, in order, and the bytes of all records."""
 
     folder: str
     shards: list[tuple[str, int, str, int, int]]
+    record_bytes: int = 0
 
 
 class Reader:
@@ -223,19 +228,19 @@ def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     """Writes the pages' records and their index."""
     spark = pages.sparkSession
     folder = folder or new_path(spark, "warc")
-    rows = pages.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("html"))
+    rows = pages.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("html"))
     prints = publish(rows.select("id", F.unhex(F.sha1("html")).alias("digest"), F.octet_length("html").alias("size")), "warc-digests")
-    first = prints.where(F.col("size") >= least_bytes).groupBy("digest", "size").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = prints.where(F.col("size") >= least_bytes).groupBy("digest", "size").agg(F.min(F.when(F.col("id") != NO_ID, F.col("id"))).alias("first"), F.count("*").alias("n")).where("n > 1")
     again = publish(prints.join(first, ["digest", "size"]).where("id <> first").select(F.col("id").alias("own"), "digest", "first").distinct(), "warc-revisits")
     told = rows.withColumn("digest", F.unhex(F.sha1("html"))).alias("r").join(again.alias("a"), (F.col("r.id") == F.col("a.own")) & (F.col("r.digest") == F.col("a.digest")), "left")
     lines = publish(told.select("id", "url", surt(F.col("url")).alias("surt"), "html", "first").mapInArrow(_write(folder, ARCHIVE_BYTES), _SCHEMA), "warc-lines")
     ordered = lines.repartitionByRange("surt", "id").sortWithinPartitions("surt", "id", "archive", "offset")
     shards = publish(ordered.mapInArrow(_write_index(folder, BLOCK_LINES), "surt string, id long, name string, offset long, length long"), "warc-shards")
-    return Captures(folder, sorted(tuple(r) for r in shards.collect()))  # one row a task
+    return Captures(folder, sorted(tuple(r) for r in shards.collect()), lines.agg(F.sum("length")).first()[0] or 0)  # shards: one row a task
 
 
 def lookup(captures: Captures, wanted: DataFrame) -> DataFrame:
-    """Records of the wanted (surt, id) rows; a null id asks for all pages of a URL key.
+    """Records of the wanted (surt, id) rows; a null id asks for all pages of a URL key, NO_ID for those without one.
 
     Returns (id, url, record_type, refers_to, payload_bytes, payload_digest, payload); payload is null for revisits.
     """
@@ -248,7 +253,7 @@ def lookup(captures: Captures, wanted: DataFrame) -> DataFrame:
             for key, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for line in reader.find(key, page):
                     fields, http, payload = reader.record(line)
-                    number = lambda name: int(fields[name].removeprefix("<urn:page:").removesuffix(">")) if name in fields else None
+                    number = lambda name: int(page) if (page := fields.get(name, "").removeprefix("<urn:page:").removesuffix(">")) else None
                     digest, kind = fields["WARC-Payload-Digest"].removeprefix("sha1:"), fields["WARC-Type"]
                     if kind == "response" and digest32(payload) != digest:
                         raise ValueError(f"{line[2]} at {line[3]}: the payload does not have its digest")
@@ -259,7 +264,9 @@ def lookup(captures: Captures, wanted: DataFrame) -> DataFrame:
                         rows, held = [], 0
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
 
-    ordered = wanted.select("surt", F.col("id").cast("long").alias("id")).distinct().repartitionByRange("surt", "id").sortWithinPartitions("surt", "id")
+    # by what the tasks will read, not by the size of the keys
+    tasks = max(2 * wanted.sparkSession.sparkContext.defaultParallelism, captures.record_bytes // READ_BYTES)
+    ordered = wanted.select("surt", F.col("id").cast("long").alias("id")).distinct().repartitionByRange(tasks, "surt", "id").sortWithinPartitions("surt", "id")
     return ordered.mapInArrow(run, "id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
 
 
@@ -267,21 +274,21 @@ def op6_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all pages and reads each back through the index."""
     pages = table(spark, sf_dir, "pages")
     captures = archive(pages)
-    found = lookup(captures, pages.where("page_id is not null").select(surt(F.col("url")).alias("surt"), F.col("page_id").alias("id")))
+    found = lookup(captures, pages.select(surt(F.col("url")).alias("surt"), F.coalesce("page_id", F.lit(NO_ID)).alias("id")))
     return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 #: DuckDB has no base32: five bits at a time of the digest's binary digits.
 OP6_SQL = """
 WITH p AS (
-  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages WHERE page_id IS NOT NULL
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
 ), f AS (
   SELECT h, payload_bytes, min(page_id) AS first FROM p GROUP BY ALL
 )
 SELECT page_id, payload_bytes,
   array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
     (CAST('0x' || substr(h || '00', 1 + CAST(floor(i * 5 / 4) AS BIGINT), 2) AS BIGINT) >> (3 - CAST((i * 5) % 4 AS INTEGER))) & 31 AS INTEGER), 1)), '') AS payload_digest,
-  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM p JOIN f USING (h, payload_bytes)
 """
