@@ -98,6 +98,10 @@ class Tokenizer:
             place = np.arange(len(code)) - np.repeat(at, size)
             key = mix64(np.add.reduceat((code.astype(np.uint64) + np.uint64(1)) * powers[place], at))
         _, first, which = np.unique(key, return_index=True, return_inverse=True)
+        like = np.repeat(at[first][which], size) + place  # words of one key are compared with the first; texts with an unlike one are read apart
+        unlike = np.add.reduceat(code[np.minimum(like, len(code) - 1)] != code, at) > 0
+        unlike |= size != size[first][which]
+        complex_[np.searchsorted(end, at[unlike])] = True
         words = [self._word(joined[s : s + n]) for s, n in zip(at[first].tolist(), size[first].tolist(), strict=True)]
         flat = np.frombuffer(b"".join(words), "<u4")
         n_ids = np.fromiter(map(len, words), np.int64, len(words)) // 4
