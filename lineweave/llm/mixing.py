@@ -69,12 +69,12 @@ def schedule(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "d
     plan = publish(period_slots(parts, period), "mix-period")  # period slots in all
 
     order = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    rows = docs.withColumns({"_src": F.coalesce(F.col(source_col), F.lit("")), "_key": order, "_size": (F.coalesce(F.length(text_col), F.lit(0)) + 1).cast("long")})
+    rows = docs.withColumns({"_src": F.coalesce(F.col(source_col), F.lit("")), "_key": order, "_size": (F.coalesce(F.length(text_col), F.lit(0)) + 1).cast("long"), "_tie": F.xxhash64(text_col)})
     rows = rows.withColumn("_range", F.conv(F.substring("_key", 1, 2), 16, 10).cast("int"))
     sums = publish(rows.groupBy("_src", "_range").agg(F.sum("_size").alias("_sum")), "mix-sums")  # 256 rows a source at most
     before = Window.partitionBy("_src").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("_src", "_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
-    own = Window.partitionBy("_src", "_range").orderBy("_key", F.col(id_col), "_size").rowsBetween(Window.unboundedPreceding, -1)
+    own = Window.partitionBy("_src", "_range").orderBy("_key", F.col(id_col), "_size", "_tie").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("start", F.coalesce(F.sum("_size").over(own), F.lit(0)))
     rows = rows.join(sums, ["_src", "_range"]).withColumn("start", F.col("start") + F.col("_base"))
     placed = rows.join(F.broadcast(plan.withColumnRenamed("source", "_src").withColumnRenamed("q", "_q").withColumnRenamed("slots", "_slots")), "_src", "left")
