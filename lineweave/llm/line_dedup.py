@@ -1,132 +1,217 @@
 """Line dedup: exact set-similarity join over the lines of all documents. DataFrame functions only.
 
-A line's tokens are its distinct shingles of five words, the rarest first: a shingle's rarity is that of its rarest word, counted over
-all documents in a table of fixed size, and ties go by hash, so the order is the same everywhere. Lines that share
-a token in their prefixes are candidates; set sizes and token positions bound their overlap, and what passes is verified on all tokens. A line is
-removed if an earlier line (by document id, then place) equals it or has a Jaccard similarity of 0.75 or more with it, whether or
-not that one is removed itself.
-
-Copies are one line from the start. A line with very many copies is known by a list of bounded size, and only its first copy
-gives postings. Each candidate first meets the earliest and the most copied line of its postings; only those left unmatched meet the others.
-
-Cases: null texts stay null; lines without words are never removed or compared; lines of fewer than five words are one token, so only
-equal words match; rows that repeat an id are one document to the order of lines, and a null id comes first; a document may lose all
-its lines and is then empty; other columns pass through, and names of added columns that clash raise an error.
+A line's tokens are its distinct words, the rarest first: a word's rarity is the logarithm of how often it occurs in all documents,
+counted in a table of fixed size, and ties go by hash, so the order is the same everywhere. Lines that share a token in their prefixes
+are compared by length, by the places of that token, and by a signature: a bit for each token hash, flipped by every token that has
+it, so that unlike bits are no more than unlike tokens. What passes is verified on all tokens. A line is removed if an earlier line (by
+document, then place) equals it or has a Jaccard similarity of 0.75 or more with it, whether or not that one is removed itself.
+
+Copies are one line from the start; their hashes are combined before any shuffle. Large groups of similar lines first meet the earliest lines of the most
+frequent tokens in their prefixes; only a line left unmatched by those has to meet all others, so such groups make no square of pairs.
+Each pair is met from its longer line, whose prefix is a quarter of it; of the shorter one a seventh is enough.
+
+Cases: null texts stay null; lines without words are never removed or compared; rows that repeat an id, and null ids, are documents of
+their own one after the other (null first, then by id and hash of the text); a document may lose all its lines and is then empty; other
+columns pass through, and names of added columns that clash raise an error; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import functools
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import publish, table
+from .shared import discard, free, publish, table
 
-#: Similarity as a fraction; words of a shingle; entries of the table of word counts; copies from which a line may be listed as
-#: frequent, as a share of all lines (so there are at most 1 / share of them); rows up to which live lines are broadcast.
-NUM, DEN, WIDTH, WORD_TABLE, FREQUENT, BROADCAST_ROWS = 3, 4, 5, 1 << 16, 1e-4, 2_000_000
-_TRIM, _SPLIT = " \t\x0b\x0c\r", r"[\x20\x09-\x0D]+"
+#: Similarity as a fraction; entries of the table of word counts; set sizes beyond which a signature has two words of 64 bits, and four, instead of one.
+NUM, DEN, WORD_TABLE, LONG_SET, VERY_LONG_SET = 3, 4, 1 << 18, 64, 150
+#: Rounds in which tokens are dealt and joined, by their hash, so that one round's share of the postings is on disk at a time.
+ROUNDS = 2
+#: Tokens by which a line meets leaders, leaders of a token, postings from which a token has leaders; numbers up to which a side of a join is broadcast.
+LEADING, LEADERS, LED_FROM, BROADCAST_ROWS = 1, 2, 32, 4_000_000
+_TRIM, _SPLIT, _BLANKS = " \t\x0b\x0c\r", r"[\x20\x09-\x0D]+", ("\t", "\x0b", "\x0c", "\r")
 ADDED = ("n_lines", "n_exact", "n_near")
+_SIGNATURE = ("s0", "s1", "s2", "s3")
+
+
+def _odd(c: Column) -> Column:
+    """Whether single spaces do not part the words of a text without line ends."""
+    out = F.startswith(c, F.lit(" ")) | F.endswith(c, F.lit(" ")) | F.contains(c, F.lit("  "))
+    for blank in _BLANKS:
+        out = out | F.contains(c, F.lit(blank))
+    return out
+
+
+def _words(c: Column) -> Column:
+    """Words of a text without line ends; a pattern is used only where it is needed."""
+    return F.when(_odd(c), F.array_remove(F.split(c, _SPLIT), "")).otherwise(F.split(c, " "))
 
 
-def line_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(key, pos, line) of each line that has words; white space at the ends does not count."""
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
-    rows = docs.select(key.alias("key"), F.posexplode(F.split(text_col, "\n")).alias("pos", "line"))
-    return rows.select("key", "pos", F.btrim("line", F.lit(_TRIM)).alias("line")).where("line <> ''")
+def _trimmed(c: Column) -> Column:
+    edge = F.startswith(c, F.lit(" ")) | F.endswith(c, F.lit(" "))
+    for blank in _BLANKS:
+        edge = edge | F.startswith(c, F.lit(blank)) | F.endswith(c, F.lit(blank))
+    return F.when(edge, F.btrim(c, F.lit(_TRIM))).otherwise(c)
+
+
+def line_rows(docs: DataFrame, text_col: str) -> DataFrame:
+    """(num, pos, line) of each line that has words; white space at the ends does not count."""
+    rows = docs.select(F.col("_num").alias("num"), F.posexplode(F.split(text_col, "\n")).alias("pos", "line"))
+    return rows.select("num", "pos", _trimmed(F.col("line")).alias("line")).where("line <> ''")
 
 
 def word_classes(docs: DataFrame, text_col: str) -> str:
-    """SQL array, by hash of a word, of the binary logarithm of how often words with that hash occur."""
-    words = docs.select(F.explode(F.split(text_col, _SPLIT)).alias("w")).where("w <> ''")
-    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(WORD_TABLE)).alias("b")).agg(F.count("*").alias("n")).collect()  # WORD_TABLE rows at most
+    """SQL array, by hash of a word, of four times the binary logarithm of how often words with that hash occur.
+
+    Words are told apart by blanks and line ends only: the counts order tokens, and any order that is the same everywhere is exact.
+    """
+    words = docs.select(F.explode(F.split(F.replace(F.col(text_col), F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w <> ''")
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(WORD_TABLE - 1)).alias("b")).agg(F.count("*").alias("n")).collect()  # WORD_TABLE rows at most
     classes = [0] * WORD_TABLE
     for b, n in counts:
-        classes[b] = min(63, n.bit_length())
+        classes[b] = min(127, int(4 * math.log2(n)) + 1)
     return f"from_json('{classes}', 'array<int>')"
 
 
-def tokens(lines: DataFrame, classes: str) -> DataFrame:
-    """Adds `tokens`: a line's distinct shingles as longs, class of rarity in the leading bits, ascending."""
-    at = [f"i + {j}" if j else "i" for j in range(WIDTH)]
-    least, joined = ", ".join(f"c[{i}]" for i in at), ", ".join(f"h[{i}]" for i in at)
-    mask = (1 << 56) - 1
-    shingle = f"shiftleft(cast(least({least}) AS bigint), 56) | (xxhash64({joined}) & {mask})"
-    w = lines.withColumn("w", F.split("line", _SPLIT))
-    w = w.withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
-    w = w.withColumn("c", F.expr(f"transform(h, x -> {classes}[pmod(x, {WORD_TABLE})])"))
-    short = F.array(F.xxhash64(F.array_join("w", " ")).bitwiseAND(F.lit(mask)))
-    full = F.expr(f"transform(sequence(0, size(w) - {WIDTH}), i -> {shingle})")
-    return w.withColumn("tokens", F.sort_array(F.array_distinct(F.when(F.size("w") >= WIDTH, full).otherwise(short)))).drop("w", "h", "c")
-
-
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The x of pairs (x, y) whose token sets are similar."""
-    x, y = sets.select(F.col("lh").alias("x"), F.col("tokens").alias("tx")), sets.select(F.col("lh").alias("y"), F.col("tokens").alias("ty"))
-    both = pairs.join(x, "x").join(y, "y").withColumn("overlap", F.size(F.array_intersect("tx", "ty")))
-    return both.where(f"{DEN} * overlap >= {NUM} * (size(tx) + size(ty) - overlap)").select("x").distinct()
-
-
-def _fits(left: str, right: str) -> str:
-    """Length and positional filter of two postings (n tokens, token at place i from 1); the positional one holds for the first token a pair shares."""
-    return f"{DEN} * {left}.n >= {NUM} * {right}.n AND {DEN} * {right}.n >= {NUM} * {left}.n AND {NUM + DEN} * (1 + least({left}.n - {left}.i, {right}.n - {right}.i)) >= {NUM} * ({left}.n + {right}.n)"
-
-
-def _may_share(left: str, right: str) -> str:
-    """Length filter, and the positional one that holds for every token a similar pair shares: what precedes it in both may be shared too."""
-    return f"{DEN} * {left}.n >= {NUM} * {right}.n AND {DEN} * {right}.n >= {NUM} * {left}.n AND {NUM + DEN} * (least({left}.i, {right}.i) + least({left}.n - {left}.i, {right}.n - {right}.i)) >= {NUM} * ({left}.n + {right}.n)"
-
-
-def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(key, exact, near): places of the lines that each document loses, as a copy and as similar to an earlier line."""
-    rows = line_rows(docs, id_col, text_col)
-    hashed = publish(rows.select("key", "pos", F.xxhash64("line").alias("lh")), "line-hashes")
-    copies = publish(hashed.groupBy("lh").agg(F.min(F.struct("key", "pos")).alias("first"), F.count("*").alias("copies")), "line-copies")
-    frequent = copies.where(F.col("copies") > F.lit(max(16, int(hashed.count() * FREQUENT)))).select("lh", "first")
-
-    lines = rows.withColumn("lh", F.xxhash64("line")).join(F.broadcast(frequent), "lh", "left").where("first is null or (first.key = key and first.pos = pos)")
-    classes = word_classes(docs, text_col)
-    told = tokens(lines.select("lh", "line"), classes).withColumn("n", F.size("tokens"))
-    posts = told.select("lh", "n", F.posexplode(F.expr(f"slice(tokens, 1, n - cast(ceil({NUM} * n / {DEN}) AS int) + 1)")).alias("i", "token")).withColumn("i", F.col("i") + 1)
-    all_of = Window.partitionBy("token")
-    live = posts.withColumn("a", F.min("lh").over(all_of)).withColumn("b", F.max("lh").over(all_of)).where("a <> b").select("token", "lh", "n", "i").distinct()
-    live = publish(live, "line-postings")
-    live = publish(live.join(copies, "lh"), "line-live")
-
-    mine = publish(live.select("lh", "first").distinct(), "line-candidates")
-    asked = mine.select("lh", F.col("first.key").alias("key"), F.col("first.pos").alias("pos"))
-    if mine.count() <= BROADCAST_ROWS:  # 24 bytes a row; beyond, a shuffle join gives the same
-        asked = F.broadcast(asked)
-    sets = publish(tokens(rows.join(asked, ["key", "pos"]).select("lh", "line"), classes).select("lh", "tokens"), "line-tokens")
-
-    earliest = live.groupBy("token").agg(F.min(F.struct("first", "lh", "n", "i")).alias("e"), F.max(F.struct("copies", "lh", "first", "n", "i")).alias("m"))
-    leaders = earliest.select("token", F.explode(F.array(F.struct("e.first", "e.lh", "e.n", "e.i"), F.struct("m.first", "m.lh", "m.n", "m.i"))).alias("y")).select("token", "y.*")
-    pairs = live.alias("x").join(leaders.alias("y"), F.col("x.token") == F.col("y.token")).where(F.expr(f"y.first < x.first AND {_fits('x', 'y')}"))
-    pairs = publish(pairs.select(F.col("x.lh").alias("x"), F.col("y.lh").alias("y")).distinct(), "line-leaders")
-    near = publish(_verify(pairs, sets), "line-near")
-    rest = live.join(near, live.lh == near.x, "left_anti")
-    others = rest.alias("x").join(live.alias("y"), F.col("x.token") == F.col("y.token")).where(F.expr(f"y.first < x.first AND {_may_share('x', 'y')}"))
-    # what two prefixes share, and the longer suffix, bound the overlap; so does the place of the first shared token
-    met = others.groupBy(F.col("x.lh").alias("x"), F.col("y.lh").alias("y")).agg(F.count("*").alias("c"), *(F.min(f"{t}.{k}").alias(f"{k}{t}") for t in "xy" for k in "ni"))
-    met = met.where(f"{NUM + DEN} * least(c + ceil({NUM} * greatest(nx, ny) / {DEN}) - 1, 1 + least(nx - ix, ny - iy)) >= {NUM} * (nx + ny)")
-    others = met.select("x", "y").join(pairs, ["x", "y"], "left_anti")
-    near = near.unionByName(_verify(publish(others, "line-others"), sets)).withColumnRenamed("x", "near_lh")
-
-    gone = publish(copies.join(near, F.col("lh") == F.col("near_lh"), "left").where("copies > 1 or near_lh is not null").select("lh", "first", F.col("near_lh").isNotNull().alias("near")), "line-gone")
-    lost = hashed.join(gone, "lh").withColumn("copy", (F.col("first.key") != F.col("key")) | (F.col("first.pos") != F.col("pos"))).where("copy or near")
-    return lost.groupBy("key").agg(F.collect_set(F.when(F.col("copy"), F.col("pos"))).alias("exact"), F.collect_set(F.when(~F.col("copy"), F.col("pos"))).alias("near"))
+def _hashes(lines: DataFrame) -> DataFrame:
+    """Adds `h`: the hashes of a line's distinct words."""
+    return lines.withColumn("h", F.array_distinct(F.transform(_words(F.col("line")), lambda x: F.xxhash64(x))))
+
+
+def prefixes(lines: DataFrame, classes: str) -> DataFrame:
+    """(num, pos, lh, n, signature, prefix) of lines: set size, signature, and the rarest tokens that a similar line must share one of."""
+    bit = "shiftleft(1L, cast(x & 63 AS int))"
+    fold = lambda test: f"aggregate(h, 0L, (a, x) -> {f'if({test}, a ^ {bit}, a)' if test else f'a ^ {bit}'})"
+    told = _hashes(lines).withColumn("n", F.size("h"))
+    two, four = [fold(f"(x & 64) = {64 * k}") for k in range(2)], [fold(f"(x & 192) = {64 * k}") for k in range(4)]
+    signature = [f"if(n > {VERY_LONG_SET}, {four[0]}, if(n > {LONG_SET}, {two[0]}, {fold('')})) AS s0", f"if(n > {VERY_LONG_SET}, {four[1]}, if(n > {LONG_SET}, {two[1]}, 0L)) AS s1"]
+    signature += [f"if(n > {VERY_LONG_SET}, {four[k]}, 0L) AS s{k}" for k in (2, 3)]
+    ranked = f"sort_array(transform(h, x -> shiftleft(cast(coalesce({classes}[x & {WORD_TABLE - 1}], 0) AS bigint), 56) | (x & {(1 << 56) - 1})))"
+    shortened = f"transform(slice({ranked}, 1, n - cast(ceil({NUM} * n / {DEN}) AS int) + 1), x -> cast(shiftright(x, 12) & 4294967295 AS bigint))"  # equal tokens stay equal; unlike ones that meet are told apart later
+    return told.selectExpr("num", "pos", "xxhash64(line) AS lh", "n", *signature, f"{shortened} AS prefix")
+
+
+def _alike(x: dict, y: dict) -> str:
+    """Length and signature filter of two lines: unlike tokens are at most a share of both sizes."""
+    folded = lambda *names: " + ".join("bit_count(" + " ^ ".join(t[c] for t in (x, y) for c in part) + ")" for part in names)
+    least = f"least({x['n']}, {y['n']})"  # the shorter one's words are sums of the longer one's
+    unlike = f"if({least} > {VERY_LONG_SET}, {folded(('s0',), ('s1',), ('s2',), ('s3',))}, if({least} > {LONG_SET}, {folded(('s0', 's2'), ('s1', 's3'))}, {folded(_SIGNATURE)}))"
+    return f"{DEN} * {x['n']} >= {NUM} * {y['n']} AND {DEN} * {y['n']} >= {NUM} * {x['n']} AND {NUM + DEN} * {unlike} <= {DEN - NUM} * ({x['n']} + {y['n']})"
+
+
+def _side(t: str, packed: bool) -> dict:
+    """SQL of a line's fields in a join; postings pack size, place and openness into `m`."""
+    own = {c: f"{t}.{c}" for c in ("ord", "n", *_SIGNATURE)}
+    return own | {"n": f"shiftright({t}.m, 32)", "i": f"shiftright({t}.m & 4294967295L, 1)", "open": f"({t}.m & 1L) = 1"} if packed else own
+
+
+def _leader_pairs(firsts: DataFrame) -> DataFrame:
+    """(later, earlier) of lines and the earliest lines with one of their most frequent prefix tokens."""
+    own = f"slice(prefix, greatest(size(prefix) - {LEADING - 1}, 1), {LEADING})"
+    posts = firsts.select(F.explode(F.expr(own)).alias("token"), "ord", "n", *_SIGNATURE)
+    first = [F.min_by(c, "ord").alias(c) for c in ("n", *_SIGNATURE)]
+    lead = posts.groupBy("token", F.pmod(F.xxhash64("ord"), F.lit(LEADERS)).alias("salt")).agg(F.min("ord").alias("ord"), *first, F.count("*").alias("rows")).where(F.col("rows") >= LED_FROM)
+    x, y = _side("x", False), _side("y", False)
+    met = posts.alias("x").join(lead.alias("y"), F.col("x.token") == F.col("y.token")).where(F.expr(f"y.ord < x.ord AND {_alike(x, y)}"))
+    return met.select(F.col("x.ord").alias("later"), F.col("y.ord").alias("earlier")).distinct()
+
+
+def _other_pairs(firsts: DataFrame, nth: int) -> DataFrame:
+    """(later, earlier) of all lines that may be similar by a token of the nth round, `open` ones being later; the longer line of a pair is x.
+
+    Of the first token that two lines share, what follows it in either must hold their overlap.
+    """
+    posts = firsts.select(F.posexplode("prefix").alias("i", "token"), "ord", "n", "open", *_SIGNATURE).where(F.col("token") % ROUNDS == nth)
+    packed = "shiftleft(cast(n AS bigint), 32) | shiftleft(cast(i + 1 AS bigint), 1) | cast(open AS bigint) AS m"
+    long = posts.selectExpr("token", "ord", packed, *_SIGNATURE)
+    short = posts.where(f"i < n - cast(ceil({2 * NUM} * n / {NUM + DEN}) AS int) + 1").selectExpr("token", "ord", packed, *_SIGNATURE)
+    x, y = _side("x", True), _side("y", True)
+    reaches = " AND ".join(f"{NUM + DEN} * ({t['n']} - {t['i']} + 1) >= {NUM} * ({x['n']} + {y['n']})" for t in (x, y))
+    order = f"({y['n']} < {x['n']} OR {y['n']} = {x['n']} AND y.ord < x.ord) AND if(x.ord > y.ord, {x['open']}, {y['open']})"
+    met = long.alias("x").join(short.alias("y"), F.col("x.token") == F.col("y.token")).where(F.expr(f"{order} AND {reaches} AND {_alike(x, y)}"))
+    return met.select(F.expr("greatest(x.ord, y.ord) AS later"), F.expr("least(x.ord, y.ord) AS earlier")).distinct()
+
+
+def _small(df: DataFrame, numbers: Column) -> DataFrame:
+    """df, to be broadcast if it holds few numbers; beyond, a shuffle join gives the same."""
+    return F.broadcast(df) if (df.agg(F.sum(numbers)).first()[0] or 0) <= BROADCAST_ROWS else df
+
+
+def _verified(found: list[DataFrame], docs: DataFrame, text_col: str, lines: int) -> DataFrame:
+    """The later lines of pairs whose word sets are similar. Only documents with such lines are read, and of them only these lines."""
+    pairs = functools.reduce(DataFrame.unionByName, found).distinct() if len(found) > 1 else found[0]
+    ords = pairs.select(F.explode(F.array("later", "earlier")).alias("ord")).distinct()
+    asked = ords.groupBy(F.floor(F.col("ord") / F.lit(lines)).cast("long").alias("num")).agg(F.collect_list((F.col("ord") % lines).cast("int")).alias("places"))  # no more than a document has lines
+    asked = _small(publish(asked, "line-asked"), F.size("places") + 4)
+    of = docs.join(asked, docs._num == asked.num).select("num", F.explode("places").alias("pos"), F.split(text_col, "\n").alias("all")).select("num", "pos", F.expr("all[pos]").alias("line"))
+    of = of.select(_ord(lines).alias("ord"), _trimmed(F.col("line")).alias("line"))
+    sets = publish(_hashes(of).select("ord", "h"), "line-sets")
+    x, y = sets.select(F.col("ord").alias("later"), F.col("h").alias("hx")), sets.select(F.col("ord").alias("earlier"), F.col("h").alias("hy"))
+
+    def similar(some: DataFrame) -> DataFrame:
+        both = some.join(x, "later").join(y, "earlier").withColumn("overlap", F.size(F.array_intersect("hx", "hy")))
+        return both.where(f"{DEN} * overlap >= {NUM} * (size(hx) + size(hy) - overlap)").select(F.col("later").alias("ord")).distinct()
+
+    # one earlier line is enough: each line first meets its earliest candidate, and only one that is not similar to that meets the others
+    near = publish(similar(pairs.groupBy("later").agg(F.min("earlier").alias("earlier"))), "line-near")
+    rest = pairs.join(_small(near.withColumnRenamed("ord", "later"), F.lit(1)), "later", "left_anti")
+    near = publish(near.unionByName(similar(rest)), "line-near")
+    for df in (*found, sets):
+        discard(df)
+    return near
+
+
+def _ord(lines: int) -> Column:
+    """Number of a line in the order of documents and places."""
+    return F.col("num") * F.lit(lines) + F.col("pos")
+
+
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs with `_num`, a number from 0 in the order of documents: the id, less the smallest; where ids repeat, are null or too far apart, the place in their order."""
+    ids = docs.select(F.col(id_col).cast("long").alias("id"))
+    s = ids.agg(F.count("*").alias("n"), F.count("id").alias("known"), F.min("id").alias("low"), F.max("id").alias("high")).first()
+    if s["n"] == s["known"] and (s["n"] == 0 or s["high"] - s["low"] < 2**40) and ids.groupBy("id").count().where("count > 1").isEmpty():
+        return docs.withColumn("_num", F.col(id_col).cast("long") - F.lit(s["low"] or 0))
+    return publish(docs.orderBy(F.col(id_col).asc_nulls_first(), F.xxhash64(text_col)).withColumn("_num", F.monotonically_increasing_id()), "line-documents")
+
+
+def removed_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(num, exact, near): places of the lines that each numbered document loses, as a copy and as similar to an earlier line."""
+    told = publish(prefixes(line_rows(docs, text_col), word_classes(docs, text_col)), "line-prefixes")
+    lines = (told.agg(F.max("pos")).first()[0] or 0) + 1
+    hashed = told.select("lh", _ord(lines).alias("ord"))
+    twice = hashed.groupBy("lh").agg(F.min("ord").alias("first"), F.count("*").alias("n")).where("n > 1").select("lh", "first")
+    copies = publish(hashed.join(_small(publish(twice, "line-twice"), F.lit(2)), "lh").where("ord <> first").select("ord"), "line-copies")
+    once = told.select(_ord(lines).alias("ord"), "n", *_SIGNATURE, "prefix").join(_small(copies, F.lit(1)), "ord", "left_anti")
+    firsts = publish(once, "line-firsts")
+    discard(told)
+
+    led = _verified([publish(_leader_pairs(firsts), "line-leaders")], docs, text_col, lines)
+    marked = firsts.join(_small(led.withColumn("open", F.lit(False)), F.lit(2)), "ord", "left").withColumn("open", F.coalesce("open", F.lit(True)))
+    found = []
+    for nth in range(ROUNDS):
+        found.append(publish(_other_pairs(marked, nth), "line-pairs"))
+        free(docs.sparkSession)
+    near = led.unionByName(_verified(found, docs, text_col, lines))
+    discard(firsts)
+
+    lost = copies.withColumn("copy", F.lit(True)).unionByName(near.distinct().withColumn("copy", F.lit(False)))
+    lost = lost.select(F.floor(F.col("ord") / F.lit(lines)).cast("long").alias("num"), (F.col("ord") % lines).cast("int").alias("pos"), "copy")
+    return lost.groupBy("num").agg(F.collect_list(F.when(F.col("copy"), F.col("pos"))).alias("exact"), F.collect_list(F.when(~F.col("copy"), F.col("pos"))).alias("near"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with their texts' repeated lines removed, and n_lines, n_exact (copies removed) and n_near (similar lines removed)."""
-    if clash := set(ADDED) & set(docs.columns):
+    if clash := {*ADDED, "_num"} & set(docs.columns):
         raise ValueError(f"columns {sorted(clash)} would be overwritten")
-    lost = removed_lines(docs, id_col, text_col).withColumnsRenamed({"key": "_key", "exact": "_exact", "near": "_near"})
-    lost = publish(lost, "line-lost")
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
-    both = docs.join(lost, key == F.col("_key"), "left")
+    own = numbered(docs, id_col, text_col)
+    lost = publish(removed_lines(own, text_col).withColumnsRenamed({"num": "_lost", "exact": "_exact", "near": "_near"}), "line-lost")
+    both = own.join(_small(lost, F.size("_exact") + F.size("_near") + 4), F.col("_num") == F.col("_lost"), "left")
     lines = F.split(text_col, "\n")
     kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("_exact", i) & ~F.array_contains("_near", i)), "\n")
-    text = F.when(F.col("_key").isNull(), F.col(text_col)).otherwise(kept)
+    text = F.when(F.col("_lost").isNull(), F.col(text_col)).otherwise(kept)
     counts = {"n_lines": F.coalesce(F.when(F.col(text_col).isNotNull(), F.size(lines)), F.lit(0)), "n_exact": F.coalesce(F.size("_exact"), F.lit(0)), "n_near": F.coalesce(F.size("_near"), F.lit(0))}
     return both.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns), *(v.cast("long").alias(k) for k, v in counts.items()))
 
@@ -136,25 +221,30 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", *ADDED)
 
 
-#: Brute force over all pairs of lines that share a shingle.
+#: Word sets of all lines, compared where they share one of their rarest words (a quarter and one more), by all their words.
 OP3_SQL = r"""
 WITH l AS (
   SELECT doc_id, pos - 1 AS pos, trim(line, e' \t\x0b\x0c\r') AS line FROM (
     SELECT doc_id, unnest(string_split(text, e'\n')) AS line, generate_subscripts(string_split(text, e'\n'), 1) AS pos FROM documents)
 ), f AS (
   SELECT line, min((doc_id, pos)) AS first FROM l WHERE line <> '' GROUP BY line
-), w AS (
-  SELECT line, first, regexp_split_to_array(line, '[\x20\x09-\x0D]+') AS w FROM f
 ), s AS (
-  SELECT line, first, list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS sh FROM w
+  SELECT line, first, list_distinct(regexp_split_to_array(line, '[\x20\x09-\x0D]+')) AS w FROM f
 ), e AS (
-  SELECT line, first, len(sh) AS n, unnest(sh) AS g FROM s
-), p AS (
-  SELECT a.line FROM e a JOIN e b ON a.g = b.g AND b.first < a.first GROUP BY a.line, a.n, b.line, b.n HAVING 4 * count(*) >= 3 * (a.n + b.n - count(*))
+  SELECT line, first, len(w) AS n, unnest(w) AS g FROM s
+), d AS (
+  SELECT g, count(*) AS df FROM e GROUP BY g
 ), r AS (
+  SELECT line, first, n, g, row_number() OVER (PARTITION BY line ORDER BY df, g) AS i FROM e JOIN d USING (g)
+), c AS (
+  SELECT DISTINCT a.line AS a, b.line AS b FROM r a JOIN r b ON a.g = b.g AND b.first < a.first AND a.i <= a.n - ceil(0.75 * a.n) + 1 AND b.i <= b.n - ceil(0.75 * b.n) + 1
+    AND 4 * a.n >= 3 * b.n AND 4 * b.n >= 3 * a.n
+), p AS (
+  SELECT a AS line FROM (SELECT a, len(x.w) + len(y.w) AS total, len(list_intersect(x.w, y.w)) AS o FROM c JOIN s x ON x.line = a JOIN s y ON y.line = b) WHERE 4 * o >= 3 * (total - o)
+), q AS (
   SELECT doc_id, pos, (doc_id, pos) <> f.first AS copy, l.line IN (SELECT line FROM p) AS near FROM l JOIN f USING (line)
 ), g AS (
-  SELECT doc_id, list(pos) AS lost, count(*) FILTER (copy) AS n_exact, count(*) FILTER (NOT copy) AS n_near FROM r WHERE copy OR near GROUP BY doc_id
+  SELECT doc_id, list(pos) AS lost, count(*) FILTER (copy) AS n_exact, count(*) FILTER (NOT copy) AS n_near FROM q WHERE copy OR near GROUP BY doc_id
 )
 SELECT doc_id, CASE WHEN lost IS NULL THEN text ELSE array_to_string(list_filter(string_split(text, e'\n'), lambda x, i: NOT list_contains(lost, i - 1)), e'\n') END AS text,
   coalesce(len(string_split(text, e'\n')), 0) AS n_lines, coalesce(n_exact, 0) AS n_exact, coalesce(n_near, 0) AS n_near
