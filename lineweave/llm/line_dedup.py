@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .shared import discard, free, publish, table
 
 #: Similarity as a fraction; entries of the table of word counts; set sizes beyond which a signature has two words of 64 bits, and four, instead of one.
-NUM, DEN, WORD_TABLE, LONG_SET, VERY_LONG_SET = 3, 4, 1 << 18, 64, 150
+NUM, DEN, WORD_TABLE, LONG_SET, VERY_LONG_SET = 3, 4, 1 << 17, 80, 180
 #: Rounds in which tokens are dealt and joined, by their hash, so that one round's share of the postings is on disk at a time.
 ROUNDS = 2
 #: Tokens by which a line meets leaders, leaders of a token, postings from which a token has leaders; numbers up to which a side of a join is broadcast.
@@ -89,8 +89,7 @@ def prefixes(lines: DataFrame, classes: str) -> DataFrame:
     signature = [f"if(n > {VERY_LONG_SET}, {four[0]}, if(n > {LONG_SET}, {two[0]}, {fold('')})) AS s0", f"if(n > {VERY_LONG_SET}, {four[1]}, if(n > {LONG_SET}, {two[1]}, 0L)) AS s1"]
     signature += [f"if(n > {VERY_LONG_SET}, {four[k]}, 0L) AS s{k}" for k in (2, 3)]
     ranked = f"sort_array(transform(h, x -> shiftleft(cast(coalesce({classes}[x & {WORD_TABLE - 1}], 0) AS bigint), 56) | (x & {(1 << 56) - 1})))"
-    shortened = f"transform(slice({ranked}, 1, n - cast(ceil({NUM} * n / {DEN}) AS int) + 1), x -> cast(shiftright(x, 12) & 4294967295 AS bigint))"  # equal tokens stay equal; unlike ones that meet are told apart later
-    return told.selectExpr("num", "pos", "xxhash64(line) AS lh", "n", *signature, f"{shortened} AS prefix")
+    return told.selectExpr("num", "pos", "xxhash64(line) AS lh", "n", *signature, f"slice({ranked}, 1, n - cast(ceil({NUM} * n / {DEN}) AS int) + 1) AS prefix")
 
 
 def _alike(x: dict, y: dict) -> str:
@@ -124,9 +123,10 @@ def _other_pairs(firsts: DataFrame, nth: int) -> DataFrame:
     Of the first token that two lines share, what follows it in either must hold their overlap.
     """
     posts = firsts.select(F.posexplode("prefix").alias("i", "token"), "ord", "n", "open", *_SIGNATURE).where(F.col("token") % ROUNDS == nth)
+    token = "shiftright(token, 12) & 4294967295 AS token"  # 32 bits: equal tokens stay equal, unlike ones that meet are told apart later
     packed = "shiftleft(cast(n AS bigint), 32) | shiftleft(cast(i + 1 AS bigint), 1) | cast(open AS bigint) AS m"
-    long = posts.selectExpr("token", "ord", packed, *_SIGNATURE)
-    short = posts.where(f"i < n - cast(ceil({2 * NUM} * n / {NUM + DEN}) AS int) + 1").selectExpr("token", "ord", packed, *_SIGNATURE)
+    long = posts.selectExpr(token, "ord", packed, *_SIGNATURE)
+    short = posts.where(f"i < n - cast(ceil({2 * NUM} * n / {NUM + DEN}) AS int) + 1").selectExpr(token, "ord", packed, *_SIGNATURE)
     x, y = _side("x", True), _side("y", True)
     reaches = " AND ".join(f"{NUM + DEN} * ({t['n']} - {t['i']} + 1) >= {NUM} * ({x['n']} + {y['n']})" for t in (x, y))
     order = f"({y['n']} < {x['n']} OR {y['n']} = {x['n']} AND y.ord < x.ord) AND if(x.ord > y.ord, {x['open']}, {y['open']})"
