@@ -92,7 +92,7 @@ def test_line_dedup(docs, empty):
         kept, lines = [], (t or "").split("\n")
         for line in lines:
             words = [w for w in re.split(f"{SP}+", line) if w]
-            s = {tuple(words[k : k + 5]) for k in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)}
+            s = set(words)
             trimmed = line.strip(" \t\x0b\x0c\r")
             hit = bool(words) and any(trimmed == u or 4 * len(s & v) >= 3 * len(s | v) for u, v in seen)
             if not hit:
@@ -108,20 +108,45 @@ def test_line_dedup(docs, empty):
         line_dedup.dedup_lines(docs.withColumn("n_near", F.lit(0)))
 
 
+def near_by_brute_force(lines):
+    """Places of lines that are similar to an earlier one and no copies."""
+    sets = [set(w.split()) for w in lines]
+    return {i for i, a in enumerate(sets) if a and lines[i] not in lines[:i] and any(lines[i] != lines[j] and b and 4 * len(a & b) >= 3 * len(a | b) for j, b in enumerate(sets[:i]))}
+
+
+def near_by_join(spark, lines):
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    return {r["doc_id"] for r in line_dedup.dedup_lines(df).where("n_near > 0").collect()}
+
+
 def test_line_dedup_beyond_the_leaders_of_postings(spark):
     rng = random.Random(6)
     word = lambda n: ["".join(rng.choice("abcdefghijklmnop") for _ in range(9)) for _ in range(n)]
-    often = word(12)
-    fill = lambda n: [rng.choice(often) for _ in range(n)]
-    lines = []
-    for n in range(4, 31):  # shingles; every one of them is led, as earliest and as most copied, by a line of frequent words besides, which is not similar
-        base, other = word(n + 4), word(1)
-        head, tail = " ".join(base[: n // 2 + 4] + fill(n + 4)), " ".join(fill(n + 4) + base[n // 2 :])
-        lines += [head, head, tail, tail, " ".join(base), "  ".join(base), " ".join(other + base[1:]), " ".join(base[:-1] + other)]
-    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, lines)]
-    near = {i for i, a in enumerate(sets) if lines[i] not in lines[:i] and any(lines[i] != lines[j] and 4 * len(a & sets[j]) >= 3 * len(a | sets[j]) for j in range(i))}
-    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
-    assert {r["doc_id"] for r in line_dedup.dedup_lines(df).where("n_near > 0").collect()} == near and len(near) > 50
+    often = word(40)
+    lines = [" ".join(rng.sample(often, rng.randint(1, 30))) for _ in range(150)]  # many that share frequent words only
+    for n in [*range(1, 30), 90, 100, 130, 300]:
+        base, other = word(n) + rng.sample(often, n // 3 % 20), word(1)
+        lines += [" ".join(base), "  ".join(base), " ".join(other + base[1:]), " ".join(reversed(base)), " ".join(base[: -(len(base) // 8) or None] + word(len(base) // 8))]
+    for n in (20, 140):  # a group of many variants, some of them similar to others but not to the earliest
+        base = word(n) + rng.sample(often, 10)
+        lines += [" ".join([*word(rng.randint(0, n // 4)), *(w for w in base if rng.random() > 0.1)]) for _ in range(60)]
+    rng.shuffle(lines)
+    near = near_by_brute_force(lines)
+    assert near_by_join(spark, lines) == near and len(near) > 150
+
+
+def test_line_dedup_of_random_word_sets(spark):
+    rng = random.Random(8)
+    lines = [" ".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(1, 14))) for _ in range(400)]
+    assert near_by_join(spark, lines) == near_by_brute_force(lines)
+
+
+def test_line_dedup_of_repeated_and_null_ids(spark):
+    line, other = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(None, line, 1), (None, line, 2), (7, other, 3), (7, f"{other}\n{line}", 4), (-(2**62), None, 5), (2**62, "\tseven\teight nine ten eleven twelve ", 6)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, at long"))
+    assert sum(other in (r["text"] or "") for r in out.collect()) == 1 and sum(line in (r["text"] or "") for r in out.collect()) == 1
+    assert {r["at"]: r["n_near"] for r in out.collect()}[6] == 1 and out.count() == 6
 
 
 def test_line_join_is_native(docs):
@@ -144,6 +169,17 @@ def test_mixing(docs, empty, spark):
         mixing.schedule(docs, weights=weights.where("source <> 's1'")).collect()
 
 
+def test_mixing_of_repeats_nulls_and_clashes(spark):
+    rows = [(None, "a", "s"), (None, None, "s"), (1, "same", "s"), (1, "same", "s"), (1, "diff", "s"), (2, "", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    key = lambda rs: sorted((str(r["doc_id"]), str(r["text"]), str(r["source"]), r["start"]) for r in rs)
+    first = key(mixing.schedule(df).collect())
+    assert len(first) == 6 and len({(s, at) for _, _, s, at in first}) == 6  # places of their own
+    assert key(mixing.schedule(df.orderBy(F.desc("text")).repartition(3)).collect()) == first  # whatever the order of arrival
+    with pytest.raises(ValueError, match="slot"):
+        mixing.schedule(df.withColumn("slot", F.lit(1)))
+
+
 def test_mixing_of_more_sources_than_half_a_period(spark):
     many = spark.createDataFrame([(i, "x" * 30, f"s{i % 60}") for i in range(240)], "doc_id long, text string, source string")
     rows = mixing.schedule(many, period=20, block_chars=31).collect()  # a document is a block
@@ -179,6 +215,16 @@ def test_language_id(spark, empty):
     got = {r["id"]: r for r in language_id.identify(docs, model).collect()}
     assert all(got[i]["lang_pred"] == lang and 0 <= got[i]["score"] <= 1 for i, _, lang, *_ in rows[:60])
     assert [got[i]["lang_pred"] for i in (90, 91, 92, 93)] == ["und", "und", "und", "y"] and got[90]["score"] == 0
+    seen = docs.where("doc_id < 60").select("text", "lang")
+    for lang, counted in language_id.count_tables(seen).items():
+        sym, of = language_id.symbols([t for _, t, own, *_ in rows[:60] if own == lang])
+        want = language_id.count_orders(*np.unique(language_id.grams_of(sym, of), return_counts=True))
+        assert counted.discounts == want.discounts and counted.symbols == want.symbols
+        for o in range(language_id.ORDER):
+            for a, b in ((counted.grams, want.grams), (counted.counts, want.counts), (counted.totals, want.totals), (counted.kinds, want.kinds)):
+                assert (a[o] == b[o]).all()
+    few = language_id.count_tables(seen, least=40)  # as if far more were counted: what stays keeps its counts and discounts
+    assert all(few[lang].discounts == counted.discounts for lang, counted in language_id.count_tables(seen).items())
     assert language_id.train(empty, ~language_id.held_out()) is None and language_id.identify(docs, None).where("lang_pred <> 'und'").count() == 0
 
 
@@ -191,6 +237,37 @@ def test_quality(spark, empty):
     out = {r["id"]: r["kept"] for r in quality.classify(docs, quality.train(docs), others=("source", "lang")).collect()}
     assert all(out[i] for i in range(80)) and not any(out[80 + i] for i in range(len(bad) + 2)) and out[len(rows) - 1]
     assert quality.train(empty) is None
+    clash = docs.select("doc_id", "text").withColumns({c: F.lit(7) for c in ("id", "score", "kept", "weak_bad", "pattern", "key")})
+    model = quality.train(docs)
+    again = {r["id"]: r["kept"] for r in quality.classify(clash, model).collect()}
+    assert again == out and quality.classify(empty, model).count() == 0
+    repeated = quality.classify(docs.union(docs), model).groupBy("id").agg(F.countDistinct("score").alias("n"), F.count("*").alias("rows")).collect()
+    assert {(r["n"], r["rows"]) for r in repeated} == {(1, 2)}
+
+
+def test_label_model_equals_em_by_hand():
+    """Expectation-maximisation over single votes in dictionaries, with the same start and prior weights."""
+    rng = random.Random(3)
+    v = [tuple(rng.choice([0, quality.GOOD] if i % 4 else [0, quality.BAD]) if rng.random() < 0.8 else rng.randint(0, 2) for _ in quality.LABELLERS) for i in range(200)]
+    p = [0.9 if quality.BAD in x else 0.05 for x in v]
+    for _ in range(100):
+        total = [sum(1 - a for a in p), sum(p)]
+        table = [[[(sum((a if c else 1 - a) for a, x in zip(p, v) if x[j] == k) + 0.101) / (total[c] + 0.303) for k in range(3)] for c in (0, 1)] for j in range(len(quality.LABELLERS))]
+        bad = min(max(total[1] / len(v), 1e-4), 0.9)
+        new = []
+        for x in v:
+            good, junk = 1 - bad, bad
+            for j, k in enumerate(x):
+                good, junk = good * table[j][0][k], junk * table[j][1][k]
+            new.append(junk / (good + junk))
+        done = max(abs(a - b) for a, b in zip(p, new)) < 1e-6
+        p = new
+        if done:
+            break
+    codes, back, counts = np.unique(quality.patterns(np.array(v, np.int8)), return_inverse=True, return_counts=True)
+    model = quality.fit_labels(codes, counts.astype(float))
+    got = model.posterior((codes[:, None] // 3 ** np.arange(len(quality.LABELLERS))) % 3)[back]
+    assert np.abs(got - np.array(p)).max() < 1e-4
 
 
 def test_quality_sample_among_many_copies(spark):
@@ -214,7 +291,7 @@ def test_secret_scan(docs, spark, empty):
 
 
 def test_warc(spark):
-    rows = [(3, "http://Blog.a.example.com:80/x?y#z", "<p>é</p>"), (1, "https://a.example.com/", "<p>é</p>"), (2, None, None), (4, "", ""), (5, "http://b.org/" + "p" * 500, "long " * 200_000), (None, "http://n", "n"), (7, "http://a.example.com/", "other"), (7, "http://a.example.com/", "other")]
+    rows = [(3, "http://Blog.a.example.com:80/x?y#z", "<p>é</p>"), (1, "https://a.example.com/", "<p>é</p>"), (2, None, None), (4, "", ""), (5, "http://b.org/" + "p" * 500, "long " * 200_000), (None, "http://n", "n"), (None, "http://n", "<p>é</p>"), (7, "http://a.example.com/", "other"), (7, "http://a.example.com/", "other")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("offset", F.lit(0)).repartition(3)
     old, warc_index.BLOCK_LINES = warc_index.BLOCK_LINES, 2
     captures = warc_index.archive(pages)
@@ -222,7 +299,10 @@ def test_warc(spark):
     wanted = pages.where("page_id is not null").select(warc_index.surt(F.col("url")).alias("surt"), F.col("page_id").alias("id"))
     assert {r[0] for r in wanted.select("surt").collect()} >= {"com,example,a,blog)/x?y", "com,example,a)/", ")/"}
     found = warc_index.lookup(captures, wanted).collect()
-    assert sorted((r["id"], r["record_type"], r["refers_to"]) for r in found) == sorted([(1, "response", None), (2, "response", None), (3, "revisit", 1), (4, "revisit", 2), (5, "response", None), (7, "response", None), (7, "response", None)], key=str) or sorted(map(str, ((r["id"], r["record_type"], r["refers_to"]) for r in found))) == sorted(map(str, [(1, "response", None), (2, "response", None), (3, "revisit", 1), (4, "revisit", 2), (5, "response", None), (7, "response", None), (7, "response", None)]))
+    types = [(1, "response", None), (2, "response", None), (3, "revisit", 1), (4, "revisit", 2), (5, "response", None), (7, "response", None), (7, "response", None)]
+    assert sorted(map(str, ((r["id"], r["record_type"], r["refers_to"]) for r in found))) == sorted(map(str, types))
+    unnamed = warc_index.lookup(captures, spark.createDataFrame([("n)/", warc_index.NO_ID)], "surt string, id long")).collect()
+    assert sorted(((r["id"], r["record_type"], r["refers_to"]) for r in unnamed), key=str) == [(None, "response", None), (None, "revisit", 1)]
     assert next(r["payload"] for r in found if r["id"] == 5) == ("long " * 200_000).encode()
     whole = warc_index.lookup(captures, spark.createDataFrame([("com,example,a)/", None), ("zz)/", None)], "surt string, id long"))
     assert sorted(r["id"] for r in whole.collect()) == [1, 7, 7]
@@ -252,20 +332,129 @@ def test_near_vectors(spark):
     assert embedding_dedup.near_vectors(df.where("false")).count() == 0
 
 
-def test_pipeline(spark, tmp_path, docs):
-    import corpus_pipeline
-
-    corpus_docs = spark.createDataFrame(corpus(), DOCS)
-    corpus_docs.write.parquet(str(tmp_path / "documents.parquet"))
-    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    kept = {r["doc_id"] for r in rows}
-    stage = corpus_docs
-    for _, f in corpus_pipeline.STAGES[:-1]:  # each stage by itself, brute force where there is one
-        out = f(spark, stage, str(tmp_path))
-        assert out.columns == stage.columns
-        stage = spark.createDataFrame(out.collect(), out.schema)
+def test_near_vectors_of_repeated_ids_and_hot_vectors(spark):
+    a, b = [1.0] + [0.0] * 7, [0.0, 1.0] + [0.0] * 6
+    near_a = [1.0, 0.1] + [0.0] * 6
+    rows = [(1, a, 1), (1, b, 2), (2, near_a, 1)] + [(i, [-0.0, 0.0, 3.0] + [0.0] * 5, 3) for i in range(10, 2500)]
+    got = embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert sorted((r["id"], r["n_links"], r["component_id"]) for r in got if r["id"] < 10) == [(1, 0, 1), (1, 1, 1), (2, 1, 1)]
+    assert {(r["n_links"], r["component_id"]) for r in got if r["id"] >= 10} == {(2489, 10)} and len(got) == len(rows)
+
+
+def test_near_vectors_of_a_large_label_equal_brute_force(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(10_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    g = rng.normal(size=x.shape)
+    g -= (g * x).sum(1, keepdims=True) * x
+    v = np.concatenate([x, 0.935 * x + np.sqrt(1 - 0.935**2) * g / np.linalg.norm(g, axis=1, keepdims=True)]).astype("f4")
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(v)], "vec_id long, embedding array<float>").withColumn("label", F.lit("one"))
+    u = v.astype(float) / np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    want = sum(int(((u[i : i + 1000] @ u.T) >= 0.93).sum()) for i in range(0, len(u), 1000)) - len(u)
+    found = embedding_dedup.near_vectors(df).agg(F.sum("n_links")).first()[0]
+    assert 0.97 * want <= found <= want
+
+
+def pfair_by_hand(rows, period=1000, block=20_000):
+    """Slot and start of (id, text, source) rows: EDF of unit blocks, one slot after the other."""
+    import hashlib
+    import math
+
+    sized = sorted((s or "", hashlib.md5(f"mix{'' if i is None else i}".encode()).hexdigest(), i, len(t or "") + 1) for i, t, s in rows)
+    volume = defaultdict(int)
+    for s, _, _, n in sized:
+        volume[s] += n
+    names = sorted(volume)
+    x = {s: math.sqrt(volume[s]) / sum(math.sqrt(v) for v in volume.values()) * (period - len(names)) for s in names}
+    left = period - len(names) - sum(int(v) for v in x.values())
+    more = sorted(names, key=lambda s: (-round(x[s] - int(x[s]), 9), s))[:left]
+    q = {s: 1 + int(x[s]) + (s in more) for s in names}
+    done, slots = dict.fromkeys(names, 0), defaultdict(list)
+    for t in range(period):
+        ready = [(-(-(done[s] + 1) * period // q[s]), names.index(s)) for s in names if done[s] * period // q[s] <= t]
+        s = names[min(ready)[1]]
+        slots[s].append(t)
+        done[s] += 1
+    out, at = {}, defaultdict(int)
+    for s, _, i, n in sized:
+        b = at[s] // block
+        out[i] = (b // q[s] * period + slots[s][b % q[s]], at[s])
+        at[s] += n
+    return out
+
+
+def pipeline_by_hand(rows, model):
+    """The texts that the first three stages leave, and the place of each in the mix."""
     from test_units import naive_set
 
-    left = {r["doc_id"]: naive_set(r["text"] or "") for r in stage.collect()}
-    assert kept == set(left) and not any(a < b and left[a] and 100 * len(left[a] & left[b]) >= 75 * len(left[a] | left[b]) for a in left for b in left)
-    assert {i for i, *_ in corpus()[7:32]} - kept <= set() or len({i for i, *_ in corpus()[7:32]} - kept) <= 1
+    labels, w = model
+    kept = []
+    for i, t, lang, source, n in rows:
+        measured = quality.measure([(t or "").encode()])
+        score = 1 / (1 + np.exp(-(quality.features(*measured) @ w[:-1] + w[-1]).astype(float)[0]))
+        if measured[0][0, -1] > 0 and score >= quality.KEEP_FROM:
+            kept.append((i, t, source))
+    seen, left = [], []
+    for i, t, source in sorted(kept):
+        lines = []
+        for line in t.split("\n"):
+            trimmed, words = line.strip(" \t\x0b\x0c\r"), set(w for w in re.split(f"{SP}+", line) if w)
+            if not (words and any(trimmed == u or 4 * len(words & v) >= 3 * len(words | v) for u, v in seen)):
+                lines.append(line)
+            if words:
+                seen.append((trimmed, words))
+        left.append((i, "\n".join(lines), source))
+    sets = {i: naive_set(t) for i, t, _ in left}
+    low = classes(sets, [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])])
+    left = [(i, t, source) for i, t, source in left if low[i] == i]
+    return left, pfair_by_hand(left)
+
+
+def test_pipeline_equals_plain_python(spark, tmp_path):
+    import zlib
+
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rng = random.Random(21)
+    rows = corpus() + [(500 + i, prose(rng, rng.randint(40, 900)) + ("\n" + prose(rng, 30)) * 3, "x", f"s{i % 4}", 0) for i in range(30)]
+    odd = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit(c) for c in ("id", "score", "kept", "slot", "start", "n_near", "_num", "gone")})
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    stored = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    left, places = pipeline_by_hand(rows, quality.train(stored.select("text")))
+    assert len(left) > 30
+    docs = stored
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.select("slot", "id").distinct().count() == 1
+        docs = spark.createDataFrame(out.collect(), out.schema)
+    assert [(r["doc_id"], r["text"]) for r in out.collect()] == [(i, t) for i, t, _ in sorted(left, key=lambda r: (places[r[0]], r[0]))]
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    tokens, want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), {}
+    for i, t, _ in left:
+        ids = [*tokens.encode(t, add_special_tokens=False).ids, 0]
+        first = len(ids) % 2048 or 2048
+        cuts = [0, *range(first, len(ids) + 1, 2048)] if len(ids) > 2048 else [0, len(ids)]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            want[i, k] = (a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes()))
+    assert {(r["doc_id"], r["piece"]): (r["start"], r["length"], r["ids_crc32"]) for r in packed} == want
+    sequences = defaultdict(list)
+    for r in packed:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for places_ in sequences.values():
+        ends = [0, *(a + n for a, n in sorted(places_))]
+        assert [a for a, _ in sorted(places_)] == ends[:-1] and ends[-1] <= 2048
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], DOCS).write.parquet(str(tmp_path / "a" / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "a")).count() == 0
+    rng = random.Random(4)
+    text = prose(rng, 60)
+    rows = [(None, text, "x", None, 0), (None, prose(rng, 50), "x", "s", 0), (7, prose(rng, 70), None, "s", 0), (7, prose(rng, 80), "x", "s", 0), (8, None, "x", "s", 0), (9, text, "x", "s", 0)]
+    spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "b" / "documents.parquet"))
+    got = [r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path / "b")).collect()]
+    assert got.count(7) == 2 and got.count(None) == 2 and 8 not in got
