@@ -29,6 +29,28 @@ def test_query(spark, name):
     assert sorted((tuple(plain(r[c]) for c in cols) for r in df.collect()), key=repr) == sorted((tuple(plain(r[i]) for i in at) for r in want.fetchall()), key=repr)
 
 
+LINES = [(1, 23857, 1757, 35.0, 0.04, 0.04), (2, 20502, 1978, 18.0, 0.04, 0.0), (2, 24206, 1717, 7.0, 0.03, 0.03), (4, 33377, 1041, 46.0, 0.07, 0.04), (7, 35599, 1852, 25.0, 0.07, 0.07)]
+PARTS = [(23857, "hot rod"), (20502, "small bolt"), (24206, "small plate"), (33377, "red rod"), (35599, "blue bolt")]
+
+
+def on_a_bound(spark, tmp_path, name):
+    """Rows of a query and of its SQL over one order, where a candidate's score lies on the bound of confident ones."""
+    keys = "l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_discount double, l_tax double"
+    spark.createDataFrame([(157764, *x) for x in LINES], f"l_orderkey long, {keys}").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(PARTS, "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    con = duckdb.connect()
+    for t in ("lineitem", "part"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    want = con.sql(oracle.SQL[name])
+    df = catalog.QUERIES[name](spark, str(tmp_path)).select(*want.columns)
+    return sorted(map(tuple, df.collect()), key=repr), sorted(want.fetchall(), key=repr)
+
+
+def test_scores_on_a_bound_rank_as_in_sql(spark, tmp_path):
+    got, want = on_a_bound(spark, tmp_path, "hybrid_rank")
+    assert got == want and (157764, "m1", "http://purl.obolibrary.org/obo/FMA_17", 0.75, 1, False) in got
+
+
 def test_entry_points():
     import __spark_entry__ as e
 
