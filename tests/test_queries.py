@@ -51,6 +51,11 @@ def test_scores_on_a_bound_rank_as_in_sql(spark, tmp_path):
     assert got == want and (157764, "m1", "http://purl.obolibrary.org/obo/FMA_17", 0.75, 1, False) in got
 
 
+def test_mentions_on_a_bound_are_selected_as_in_sql(spark, tmp_path):
+    got, want = on_a_bound(spark, tmp_path, "select_top1")
+    assert got == want and (157764, "m1", "hot rod", 20, 27, "http://purl.obolibrary.org/obo/FMA_17", 0.75, False) in got
+
+
 def test_entry_points():
     import __spark_entry__ as e
 
