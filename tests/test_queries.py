@@ -56,6 +56,14 @@ def test_mentions_on_a_bound_are_selected_as_in_sql(spark, tmp_path):
     assert got == want and (157764, "m1", "hot rod", 20, 27, "http://purl.obolibrary.org/obo/FMA_17", 0.75, False) in got
 
 
+@pytest.mark.skipif(not os.path.isdir(D), reason="no tables")
+@pytest.mark.parametrize("name", ["gaz_build"])
+def test_files_are_not_broadcast_by_their_size(spark, name):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plan = catalog.QUERIES[name](spark, D)._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" in plan and "BroadcastHashJoin" not in plan and spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
+
+
 def test_entry_points():
     import __spark_entry__ as e
 
