@@ -267,6 +267,26 @@ def test_what_only_vectors_can_name(spark):
     assert {r["mention_id"]: r["force"] for r in got} == {"m1": True, "m2": False}
 
 
+def test_grid_equals_brute_force_without_repeating_candidates(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = [(k, f"m{m}", f"S{(k + m) % 5}", f"I{i}", rng.choice([0.0, 0.5, 1.0]), rng.choice([0.0, 0.5, 1.0]), rng.choice([0.0, 0.5]), rng.choice([0, 7])) for k in range(40) for m in range(3) for i in rng.sample(range(6), 4)]
+    cands = spark.createDataFrame(rows, "k long, mention_id string, surface string, iri string, score_lex double, norm_vec double, score_prior double, seq long")
+    gold = spark.createDataFrame([(f"s{i}", f"I{i}", 0) for i in range(4)], "surface string, iri string, seq int")  # S4 has none
+    points = [(i, 0.1 * (i % 5), 0.1 * (i % 4), 0.05 * (i % 3)) for i in range(64)]  # more than fit one number
+    graded = rank.accuracy_grid(cands, gold, spark.createDataFrame(points, "nth int, w_lex double, w_vec double, w_prior double"), KEYS)
+    best = lambda rs, p: min(rs, key=lambda r: (-round(p[1] * r[4] + p[2] * r[5] + p[3] * r[6], 9), r[7], r[3]))[3]
+    mentions = {}
+    for r in rows:
+        if r[2] != "S4":
+            mentions.setdefault(r[:3], []).append(r)
+    want = {p[0]: sum(best(rs, p) == f"I{key[2][1]}" for key, rs in mentions.items()) for p in points}
+    assert {r["nth"]: (round(r["accuracy"] * len(mentions)), r["n"]) for r in graded.collect()} == {n: (v, len(mentions)) for n, v in want.items()}
+    plan = graded._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Cross" not in plan
+
+
 def test_stream(spark, tmp_path):
     spark.createDataFrame([("2024-01-01 00:00:00", "שתל14"), ("2024-01-01 02:00:00", "a 1/2")], "ts string, raw_text string").selectExpr("cast(ts as timestamp) ts", "raw_text").write.parquet(str(tmp_path / "in"))
     s = notes.kind_counts(notes.normalized(notes.read(spark, str(tmp_path / "in"), "ts timestamp, raw_text string")), "ts")
