@@ -64,6 +64,12 @@ def test_files_are_not_broadcast_by_their_size(spark, name):
     assert "Join" in plan and "BroadcastHashJoin" not in plan and spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
 
 
+@pytest.mark.skipif(not os.path.isdir(D), reason="no tables")
+def test_best_point_repeats_no_candidates(spark):
+    plan = catalog.best_point(spark, D)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Cross" not in plan and "Join FullOuter" in plan  # scored in the plan itself, not stored
+
+
 def test_entry_points():
     import __spark_entry__ as e
 
