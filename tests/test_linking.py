@@ -72,6 +72,28 @@ def test_link_with_vectors(spark, entries, surfaces):
     assert len({(r["k"], r["mention_id"]) for r in out}) == len(out) > 1
 
 
+def test_a_block_of_queries_holds_a_strip_of_its_pairs():
+    """Scores of all pairs of two blocks are 80 MB here; a strip of them and the vectors are a tenth of that."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(7)
+    x, y = (rng.normal(size=(n, 8)).astype(np.float32) for n in (20_000, 500))
+    table = lambda v: pa.table({"id": pa.array(range(len(v))), "v": pa.array(list(v), pa.list_(pa.float32()))})
+    a, b = table(x), table(y)
+    vector.best_of_block(a.slice(0, 9), b, 3)  # modules are loaded
+    tracemalloc.start()
+    got = vector.best_of_block(a, b, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
+    x, y = x.astype(float), y.astype(float)
+    whole = (x @ y.T) / (np.linalg.norm(x, axis=1)[:, None] * np.linalg.norm(y, axis=1)[None, :])
+    assert np.allclose(got["score_cos"].to_numpy(), whole[got["qid"].to_numpy(), got["iri"].to_numpy()], rtol=0, atol=1e-11)
+
+
 def test_top_k_equals_brute_force(spark):
     import numpy as np
 
