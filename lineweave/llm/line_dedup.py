@@ -2,7 +2,7 @@
 
 A line's tokens are its distinct words, the rarest first: a word's rarity is the logarithm of how often it occurs in all documents,
 counted in a table of fixed size, and ties go by hash, so the order is the same everywhere. Lines that share a token in their prefixes
-are compared by length, by the places of that token, and by a signature: a bit for each token hash, flipped by every token that has
+are compared by length (lines of unlike sizes do not meet), by the places of that token, and by a signature: a bit for each token hash, flipped by every token that has
 it, so that unlike bits are no more than unlike tokens. What passes is verified on all tokens. A line is removed if an earlier line (by
 document, then place) equals it or has a Jaccard similarity of 0.75 or more with it, whether or not that one is removed itself.
 
@@ -29,6 +29,10 @@ from .shared import discard, free, publish, table
 NUM, DEN, WORD_TABLE, LONG_SET, VERY_LONG_SET = 3, 4, 1 << 17, 80, 180
 #: Rounds in which tokens are dealt and joined, by their hash, so that one round's share of the postings is on disk at a time.
 ROUNDS = 2
+#: Rows in which the table of word counts is made.
+WORD_GROUPS = 1 << 16
+#: Sizes of lines are told apart in classes, of which there are these many for every factor of e: a pair's sizes lie in one class or in two.
+SIZE_CLASSES = 3.4
 #: Tokens by which a line meets leaders, leaders of a token, postings from which a token has leaders; numbers up to which a side of a join is broadcast.
 LEADING, LEADERS, LED_FROM, BROADCAST_ROWS = 1, 2, 32, 4_000_000
 _TRIM, _SPLIT, _BLANKS = " \t\x0b\x0c\r", r"[\x20\x09-\x0D]+", ("\t", "\x0b", "\x0c", "\r")
@@ -62,16 +66,18 @@ def line_rows(docs: DataFrame, text_col: str) -> DataFrame:
     return rows.select("num", "pos", _trimmed(F.col("line")).alias("line")).where("line <> ''")
 
 
-def word_classes(docs: DataFrame, text_col: str) -> str:
-    """SQL array, by hash of a word, of four times the binary logarithm of how often words with that hash occur.
+def word_classes(hashed: DataFrame) -> str:
+    """SQL array, by hash of a word, of four times the binary logarithm of how many lines hold words with that hash.
 
-    Words are told apart by blanks and line ends only: the counts order tokens, and any order that is the same everywhere is exact.
+    The counts order tokens, and any order that is the same everywhere is exact. Few groups with several counts each are counted faster than many groups.
     """
-    words = docs.select(F.explode(F.split(F.replace(F.col(text_col), F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w <> ''")
-    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(WORD_TABLE - 1)).alias("b")).agg(F.count("*").alias("n")).collect()  # WORD_TABLE rows at most
+    halves = WORD_TABLE // WORD_GROUPS
+    part = F.shiftright("x", WORD_GROUPS.bit_length() - 1).bitwiseAND(F.lit(halves - 1))
+    words = hashed.select(F.explode("h").alias("x")).groupBy(F.col("x").bitwiseAND(F.lit(WORD_GROUPS - 1)).alias("b"))
     classes = [0] * WORD_TABLE
-    for b, n in counts:
-        classes[b] = min(127, int(4 * math.log2(n)) + 1)
+    for b, *counts in words.agg(*(F.count_if(part == k).alias(f"n{k}") for k in range(halves))).collect():  # WORD_GROUPS rows at most
+        for k, n in enumerate(counts):
+            classes[b + k * WORD_GROUPS] = min(127, int(4 * math.log2(n)) + 1) if n else 0
     return f"from_json('{classes}', 'array<int>')"
 
 
@@ -80,16 +86,16 @@ def _hashes(lines: DataFrame) -> DataFrame:
     return lines.withColumn("h", F.array_distinct(F.transform(_words(F.col("line")), lambda x: F.xxhash64(x))))
 
 
-def prefixes(lines: DataFrame, classes: str) -> DataFrame:
-    """(num, pos, lh, n, signature, prefix) of lines: set size, signature, and the rarest tokens that a similar line must share one of."""
+def prefixes(hashed: DataFrame, classes: str) -> DataFrame:
+    """(ord, n, signature, prefix) of lines with `h`: set size, signature, and the rarest tokens that a similar line must share one of."""
     bit = "shiftleft(1L, cast(x & 63 AS int))"
     fold = lambda test: f"aggregate(h, 0L, (a, x) -> {f'if({test}, a ^ {bit}, a)' if test else f'a ^ {bit}'})"
-    told = _hashes(lines).withColumn("n", F.size("h"))
-    two, four = [fold(f"(x & 64) = {64 * k}") for k in range(2)], [fold(f"(x & 192) = {64 * k}") for k in range(4)]
-    signature = [f"if(n > {VERY_LONG_SET}, {four[0]}, if(n > {LONG_SET}, {two[0]}, {fold('')})) AS s0", f"if(n > {VERY_LONG_SET}, {four[1]}, if(n > {LONG_SET}, {two[1]}, 0L)) AS s1"]
-    signature += [f"if(n > {VERY_LONG_SET}, {four[k]}, 0L) AS s{k}" for k in (2, 3)]
+    told = hashed.withColumn("n", F.size("h"))
+    two, four = fold("(x & 64) = 64"), [fold(f"(x & 192) = {64 * k}") for k in range(4)]
+    told = told.selectExpr("ord", "n", "h", f"{fold('')} AS s", f"if(n > {VERY_LONG_SET}, {four[1]}, if(n > {LONG_SET}, {two}, 0L)) AS s1", *(f"if(n > {VERY_LONG_SET}, {four[k]}, 0L) AS s{k}" for k in (2, 3)))
+    signature = ["s ^ s1 ^ s2 ^ s3 AS s0", "s1", "s2", "s3"]  # of all bits, the first word has what the others leave
     ranked = f"sort_array(transform(h, x -> shiftleft(cast(coalesce({classes}[x & {WORD_TABLE - 1}], 0) AS bigint), 56) | (x & {(1 << 56) - 1})))"
-    return told.selectExpr("num", "pos", "xxhash64(line) AS lh", "n", *signature, f"slice({ranked}, 1, n - cast(ceil({NUM} * n / {DEN}) AS int) + 1) AS prefix")
+    return told.selectExpr("ord", "n", *signature, f"slice({ranked}, 1, n - cast(ceil({NUM} * n / {DEN}) AS int) + 1) AS prefix")
 
 
 def _alike(x: dict, y: dict) -> str:
@@ -110,23 +116,36 @@ def _leader_pairs(firsts: DataFrame) -> DataFrame:
     """(later, earlier) of lines and the earliest lines with one of their most frequent prefix tokens."""
     own = f"slice(prefix, greatest(size(prefix) - {LEADING - 1}, 1), {LEADING})"
     posts = firsts.select(F.explode(F.expr(own)).alias("token"), "ord", "n", *_SIGNATURE)
-    first = [F.min_by(c, "ord").alias(c) for c in ("n", *_SIGNATURE)]
-    lead = posts.groupBy("token", F.pmod(F.xxhash64("ord"), F.lit(LEADERS)).alias("salt")).agg(F.min("ord").alias("ord"), *first, F.count("*").alias("rows")).where(F.col("rows") >= LED_FROM)
+    lead = posts.groupBy("token", F.pmod(F.xxhash64("ord"), F.lit(LEADERS)).alias("salt")).agg(F.min("ord").alias("ord"), F.count("*").alias("rows")).where(F.col("rows") >= LED_FROM)
+    lead = _small(publish(lead.select("token", "ord"), "line-lead"), F.lit(8))
+    lead = _small(publish(firsts.select("ord", "n", *_SIGNATURE).join(lead, "ord"), "line-lead"), F.lit(8))
     x, y = _side("x", False), _side("y", False)
     met = posts.alias("x").join(lead.alias("y"), F.col("x.token") == F.col("y.token")).where(F.expr(f"y.ord < x.ord AND {_alike(x, y)}"))
     return met.select(F.col("x.ord").alias("later"), F.col("y.ord").alias("earlier")).distinct()
 
 
+def _postings(firsts: DataFrame, nth: int) -> tuple[DataFrame, DataFrame]:
+    """Lines by tokens of the nth round, as the longer line of a pair and as the shorter one.
+
+    The key is a token and a class of sizes: the longer line's own, and for the shorter one each class of the sizes that a longer one may have, so
+    that lines of unlike sizes do not meet.
+    """
+    posts = lambda prefix: firsts.select(F.posexplode(prefix).alias("i", "token"), "ord", "n", "open", *_SIGNATURE).where(F.col("token") % ROUNDS == nth)
+    of = lambda n: f"cast(floor({SIZE_CLASSES} * ln({n})) AS bigint)"
+    key = lambda c: f"shiftleft(shiftright(token, 12) & 4294967295, 7) | {c} AS token"  # noqa: E731  # 32 bits: equal tokens stay equal, unlike ones that meet are told apart later
+    packed = "shiftleft(cast(n AS bigint), 32) | shiftleft(cast(i + 1 AS bigint), 1) | cast(open AS bigint) AS m"
+    short = posts(F.expr(f"slice(prefix, 1, n - cast(ceil({2 * NUM} * n / {NUM + DEN}) AS int) + 1)"))
+    most = f"least(floor({DEN} * n / {NUM}), floor({NUM + DEN} * (n - i) / {NUM}) - n)"  # the largest size that may hold the overlap
+    short = short.withColumn("c", F.explode(F.expr(f"sequence({of('n')}, {of(most)})")))
+    return posts(F.col("prefix")).selectExpr(key(of("n")), "ord", packed, *_SIGNATURE), short.selectExpr(key("c"), "ord", packed, *_SIGNATURE)
+
+
 def _other_pairs(firsts: DataFrame, nth: int) -> DataFrame:
     """(later, earlier) of all lines that may be similar by a token of the nth round, `open` ones being later; the longer line of a pair is x.
 
     Of the first token that two lines share, what follows it in either must hold their overlap.
     """
-    posts = firsts.select(F.posexplode("prefix").alias("i", "token"), "ord", "n", "open", *_SIGNATURE).where(F.col("token") % ROUNDS == nth)
-    token = "shiftright(token, 12) & 4294967295 AS token"  # 32 bits: equal tokens stay equal, unlike ones that meet are told apart later
-    packed = "shiftleft(cast(n AS bigint), 32) | shiftleft(cast(i + 1 AS bigint), 1) | cast(open AS bigint) AS m"
-    long = posts.selectExpr(token, "ord", packed, *_SIGNATURE)
-    short = posts.where(f"i < n - cast(ceil({2 * NUM} * n / {NUM + DEN}) AS int) + 1").selectExpr(token, "ord", packed, *_SIGNATURE)
+    long, short = _postings(firsts, nth)
     x, y = _side("x", True), _side("y", True)
     reaches = " AND ".join(f"{NUM + DEN} * ({t['n']} - {t['i']} + 1) >= {NUM} * ({x['n']} + {y['n']})" for t in (x, y))
     order = f"({y['n']} < {x['n']} OR {y['n']} = {x['n']} AND y.ord < x.ord) AND if(x.ord > y.ord, {x['open']}, {y['open']})"
@@ -134,25 +153,30 @@ def _other_pairs(firsts: DataFrame, nth: int) -> DataFrame:
     return met.select(F.expr("greatest(x.ord, y.ord) AS later"), F.expr("least(x.ord, y.ord) AS earlier")).distinct()
 
 
+def _few(df: DataFrame, numbers: Column) -> bool:
+    return (df.agg(F.sum(numbers)).first()[0] or 0) <= BROADCAST_ROWS
+
+
 def _small(df: DataFrame, numbers: Column) -> DataFrame:
     """df, to be broadcast if it holds few numbers; beyond, a shuffle join gives the same."""
-    return F.broadcast(df) if (df.agg(F.sum(numbers)).first()[0] or 0) <= BROADCAST_ROWS else df
+    return F.broadcast(df) if _few(df, numbers) else df
 
 
 def _verified(found: list[DataFrame], docs: DataFrame, text_col: str, lines: int) -> DataFrame:
     """The later lines of pairs whose word sets are similar. Only documents with such lines are read, and of them only these lines."""
-    pairs = functools.reduce(DataFrame.unionByName, found).distinct() if len(found) > 1 else found[0]
+    pairs = publish(functools.reduce(DataFrame.unionByName, found).distinct(), "line-pairs") if len(found) > 1 else found[0]
     ords = pairs.select(F.explode(F.array("later", "earlier")).alias("ord")).distinct()
     asked = ords.groupBy(F.floor(F.col("ord") / F.lit(lines)).cast("long").alias("num")).agg(F.collect_list((F.col("ord") % lines).cast("int")).alias("places"))  # no more than a document has lines
     asked = _small(publish(asked, "line-asked"), F.size("places") + 4)
-    of = docs.join(asked, docs._num == asked.num).select("num", F.explode("places").alias("pos"), F.split(text_col, "\n").alias("all")).select("num", "pos", F.expr("all[pos]").alias("line"))
+    picked = F.transform(F.array(F.split(text_col, "\n")), lambda all_: F.transform("places", lambda p: F.struct(p.alias("pos"), all_[p].alias("line"))))[0]  # splits a text once
+    of = docs.join(asked, docs._num == asked.num).select("num", F.inline(picked))
     of = of.select(_ord(lines).alias("ord"), _trimmed(F.col("line")).alias("line"))
     sets = publish(_hashes(of).select("ord", "h"), "line-sets")
     x, y = sets.select(F.col("ord").alias("later"), F.col("h").alias("hx")), sets.select(F.col("ord").alias("earlier"), F.col("h").alias("hy"))
 
     def similar(some: DataFrame) -> DataFrame:
-        both = some.join(x, "later").join(y, "earlier").withColumn("overlap", F.size(F.array_intersect("hx", "hy")))
-        return both.where(f"{DEN} * overlap >= {NUM} * (size(hx) + size(hy) - overlap)").select(F.col("later").alias("ord")).distinct()
+        both = some.join(x, "later").join(y, "earlier")  # the overlap stands in the filter once, or it would be computed twice
+        return both.where(f"{NUM + DEN} * size(array_intersect(hx, hy)) >= {NUM} * (size(hx) + size(hy))").select(F.col("later").alias("ord")).distinct()
 
     # one earlier line is enough: each line first meets its earliest candidate, and only one that is not similar to that meets the others
     near = publish(similar(pairs.groupBy("later").agg(F.min("earlier").alias("earlier"))), "line-near")
@@ -160,6 +184,8 @@ def _verified(found: list[DataFrame], docs: DataFrame, text_col: str, lines: int
     near = publish(near.unionByName(similar(rest)), "line-near")
     for df in (*found, sets):
         discard(df)
+    if len(found) > 1:
+        discard(pairs)
     return near
 
 
@@ -179,13 +205,19 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def removed_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(num, exact, near): places of the lines that each numbered document loses, as a copy and as similar to an earlier line."""
-    told = publish(prefixes(line_rows(docs, text_col), word_classes(docs, text_col)), "line-prefixes")
+    rows = _hashes(line_rows(docs, text_col)).select("num", "pos", F.xxhash64("line").alias("lh"), "h")
+    told = publish(rows, "line-words", "lz4")  # hashes hardly shrink
     lines = (told.agg(F.max("pos")).first()[0] or 0) + 1
     hashed = told.select("lh", _ord(lines).alias("ord"))
     twice = hashed.groupBy("lh").agg(F.min("ord").alias("first"), F.count("*").alias("n")).where("n > 1").select("lh", "first")
     copies = publish(hashed.join(_small(publish(twice, "line-twice"), F.lit(2)), "lh").where("ord <> first").select("ord"), "line-copies")
-    once = told.select(_ord(lines).alias("ord"), "n", *_SIGNATURE, "prefix").join(_small(copies, F.lit(1)), "ord", "left_anti")
-    firsts = publish(once, "line-firsts")
+    words, classes = told.select(_ord(lines).alias("ord"), "h"), word_classes(told)
+    if _few(copies, F.lit(1)):
+        firsts = publish(prefixes(words.join(F.broadcast(copies), "ord", "left_anti"), classes), "line-firsts")
+    else:  # a shuffle moves less of a line by its prefix
+        whole = publish(prefixes(words, classes), "line-prefixes")
+        firsts = publish(whole.join(copies, "ord", "left_anti"), "line-firsts")
+        discard(whole)
     discard(told)
 
     led = _verified([publish(_leader_pairs(firsts), "line-leaders")], docs, text_col, lines)

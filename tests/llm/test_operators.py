@@ -1,5 +1,6 @@
 """Training-data operators on small tables with nulls, empty and long texts, ties, repeats, clashing columns, against brute force."""
 
+import math
 import random
 import re
 from collections import defaultdict
@@ -141,6 +142,18 @@ def test_line_dedup_of_random_word_sets(spark):
     assert near_by_join(spark, lines) == near_by_brute_force(lines)
 
 
+def test_lines_of_unlike_sizes_do_not_meet(spark):
+    sizes = range(1, 301)
+    firsts = spark.createDataFrame([(n, n, True, 0, 0, 0, 0, [4096 + k * 8192 for k in range(n - math.ceil(0.75 * n) + 1)]) for n in sizes], "ord long, n int, open boolean, s0 long, s1 long, s2 long, s3 long, prefix array<long>")
+    met, want = {}, {(a, b) for a in sizes for b in sizes if b <= a and 4 * b >= 3 * a}
+    for nth in range(line_dedup.ROUNDS):
+        long, short = line_dedup._postings(firsts, nth)
+        got = long.select("token", F.col("ord").alias("a")).join(short.select("token", F.col("ord").alias("b")), "token").groupBy("a", "b").count().collect()
+        met |= {(r["a"], r["b"]): r["count"] for r in got}
+    assert want <= set(met) and max(a / b for a, b in met) < 2 and max(b / a for a, b in met) < 2
+    assert line_dedup._other_pairs(firsts, 0).where("later = earlier").count() == 0
+
+
 def test_line_dedup_of_repeated_and_null_ids(spark):
     line, other = "one two three four five six", "seven eight nine ten eleven twelve"
     rows = [(None, line, 1), (None, line, 2), (7, other, 3), (7, f"{other}\n{line}", 4), (-(2**62), None, 5), (2**62, "\tseven\teight nine ten eleven twelve ", 6)]
