@@ -23,12 +23,14 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import discard, free, publish, table
+from .shared import discard, free, publish, publish_hashes, table
 
 #: Similarity as a fraction; entries of the table of word counts; set sizes beyond which a signature has two words of 64 bits, and four, instead of one.
 NUM, DEN, WORD_TABLE, LONG_SET, VERY_LONG_SET = 3, 4, 1 << 17, 80, 180
-#: Rounds in which tokens are dealt and joined, by their hash, so that one round's share of the postings is on disk at a time.
-ROUNDS = 2
+#: Rounds in which lines are joined, first those of classes that one signature word is enough for, then longer ones; the tokens of either are dealt by
+#: their hash to so many rounds, so that one round's share of the postings is on disk at a time.
+DEALT = 2
+ROUNDS = 2 * DEALT
 #: Rows in which the table of word counts is made.
 WORD_GROUPS = 1 << 16
 #: Sizes of lines are told apart in classes, of which there are these many for every factor of e: a pair's sizes lie in one class or in two.
@@ -40,17 +42,10 @@ ADDED = ("n_lines", "n_exact", "n_near")
 _SIGNATURE = ("s0", "s1", "s2", "s3")
 
 
-def _odd(c: Column) -> Column:
-    """Whether single spaces do not part the words of a text without line ends."""
-    out = F.startswith(c, F.lit(" ")) | F.endswith(c, F.lit(" ")) | F.contains(c, F.lit("  "))
-    for blank in _BLANKS:
-        out = out | F.contains(c, F.lit(blank))
-    return out
-
-
 def _words(c: Column) -> Column:
-    """Words of a text without line ends; a pattern is used only where it is needed."""
-    return F.when(_odd(c), F.array_remove(F.split(c, _SPLIT), "")).otherwise(F.split(c, " "))
+    """Words of a text without line ends, and empty ones between spaces; a pattern is used only where it is needed."""
+    odd = functools.reduce(Column.__or__, (F.contains(c, F.lit(blank)) for blank in _BLANKS))
+    return F.when(odd, F.split(c, _SPLIT)).otherwise(F.split(c, " "))
 
 
 def _trimmed(c: Column) -> Column:
@@ -78,12 +73,12 @@ def word_classes(hashed: DataFrame) -> str:
     for b, *counts in words.agg(*(F.count_if(part == k).alias(f"n{k}") for k in range(halves))).collect():  # WORD_GROUPS rows at most
         for k, n in enumerate(counts):
             classes[b + k * WORD_GROUPS] = min(127, int(4 * math.log2(n)) + 1) if n else 0
-    return f"from_json('{classes}', 'array<int>')"
+    return f"from_json('{classes}', 'array<bigint>')"
 
 
 def _hashes(lines: DataFrame) -> DataFrame:
     """Adds `h`: the hashes of a line's distinct words."""
-    return lines.withColumn("h", F.array_distinct(F.transform(_words(F.col("line")), lambda x: F.xxhash64(x))))
+    return lines.withColumn("h", F.array_remove(F.array_distinct(F.transform(_words(F.col("line")), lambda x: F.xxhash64(x))), F.xxhash64(F.lit(""))))
 
 
 def prefixes(hashed: DataFrame, classes: str) -> DataFrame:
@@ -94,21 +89,21 @@ def prefixes(hashed: DataFrame, classes: str) -> DataFrame:
     two, four = fold("(x & 64) = 64"), [fold(f"(x & 192) = {64 * k}") for k in range(4)]
     told = told.selectExpr("ord", "n", "h", f"{fold('')} AS s", f"if(n > {VERY_LONG_SET}, {four[1]}, if(n > {LONG_SET}, {two}, 0L)) AS s1", *(f"if(n > {VERY_LONG_SET}, {four[k]}, 0L) AS s{k}" for k in (2, 3)))
     signature = ["s ^ s1 ^ s2 ^ s3 AS s0", "s1", "s2", "s3"]  # of all bits, the first word has what the others leave
-    ranked = f"sort_array(transform(h, x -> shiftleft(cast(coalesce({classes}[x & {WORD_TABLE - 1}], 0) AS bigint), 56) | (x & {(1 << 56) - 1})))"
+    ranked = f"sort_array(transform(h, x -> coalesce(shiftleft({classes}[x & {WORD_TABLE - 1}], 56) | (x & {(1 << 56) - 1}), 0L)))"  # without nulls, longs are sorted as such
     return told.selectExpr("ord", "n", *signature, f"slice({ranked}, 1, n - cast(ceil({NUM} * n / {DEN}) AS int) + 1) AS prefix")
 
 
-def _alike(x: dict, y: dict) -> str:
-    """Length and signature filter of two lines: unlike tokens are at most a share of both sizes."""
+def _alike(x: dict, y: dict, signature: tuple | list = _SIGNATURE) -> str:
+    """Length and signature filter of two lines: unlike tokens are at most a share of both sizes. The signature has four words, or one of all bits."""
     folded = lambda *names: " + ".join("bit_count(" + " ^ ".join(t[c] for t in (x, y) for c in part) + ")" for part in names)
     least = f"least({x['n']}, {y['n']})"  # the shorter one's words are sums of the longer one's
-    unlike = f"if({least} > {VERY_LONG_SET}, {folded(('s0',), ('s1',), ('s2',), ('s3',))}, if({least} > {LONG_SET}, {folded(('s0', 's2'), ('s1', 's3'))}, {folded(_SIGNATURE)}))"
+    unlike = folded(signature) if len(signature) == 1 else f"if({least} > {VERY_LONG_SET}, {folded(('s0',), ('s1',), ('s2',), ('s3',))}, if({least} > {LONG_SET}, {folded(('s0', 's2'), ('s1', 's3'))}, {folded(_SIGNATURE)}))"
     return f"{DEN} * {x['n']} >= {NUM} * {y['n']} AND {DEN} * {y['n']} >= {NUM} * {x['n']} AND {NUM + DEN} * {unlike} <= {DEN - NUM} * ({x['n']} + {y['n']})"
 
 
 def _side(t: str, packed: bool) -> dict:
     """SQL of a line's fields in a join; postings pack size, place and openness into `m`."""
-    own = {c: f"{t}.{c}" for c in ("ord", "n", *_SIGNATURE)}
+    own = {c: f"{t}.{c}" for c in ("ord", "n", *_SIGNATURE)}  # only what is asked for has to be there
     return own | {"n": f"shiftright({t}.m, 32)", "i": f"shiftright({t}.m & 4294967295L, 1)", "open": f"({t}.m & 1L) = 1"} if packed else own
 
 
@@ -128,16 +123,21 @@ def _postings(firsts: DataFrame, nth: int) -> tuple[DataFrame, DataFrame]:
     """Lines by tokens of the nth round, as the longer line of a pair and as the shorter one.
 
     The key is a token and a class of sizes: the longer line's own, and for the shorter one each class of the sizes that a longer one may have, so
-    that lines of unlike sizes do not meet.
+    that lines of unlike sizes do not meet. Rounds of short classes have the signature as one word, `s0`.
     """
-    posts = lambda prefix: firsts.select(F.posexplode(prefix).alias("i", "token"), "ord", "n", "open", *_SIGNATURE).where(F.col("token") % ROUNDS == nth)
     of = lambda n: f"cast(floor({SIZE_CLASSES} * ln({n})) AS bigint)"
-    key = lambda c: f"shiftleft(shiftright(token, 12) & 4294967295, 7) | {c} AS token"  # noqa: E731  # 32 bits: equal tokens stay equal, unlike ones that meet are told apart later
+    wide, deal = divmod(nth, DEALT)
+    here = lambda c: f"{c} {'>' if wide else '<='} {int(SIZE_CLASSES * math.log(LONG_SET))}"
+    signature = [*_SIGNATURE] if wide else ["s0 ^ s1 ^ s2 ^ s3 AS s0"]
+    sized = firsts.selectExpr("ord", "n", "open", "prefix", *signature, f"{of('n')} AS own", f"{of(f'floor({DEN} * n / {NUM})')} AS top")  # once a line, not once a posting
+    posts = lambda lines, prefix: lines.select(F.posexplode(prefix).alias("i", "token"), *(c for c in sized.columns if c != "prefix")).where(F.col("token") % DEALT == deal)
+    key = lambda c: f"shiftleft(shiftright(token, 12) & 4294967295, 7) | {c}"  # noqa: E731  # 32 bits: equal tokens stay equal, unlike ones that meet are told apart later
     packed = "shiftleft(cast(n AS bigint), 32) | shiftleft(cast(i + 1 AS bigint), 1) | cast(open AS bigint) AS m"
-    short = posts(F.expr(f"slice(prefix, 1, n - cast(ceil({2 * NUM} * n / {NUM + DEN}) AS int) + 1)"))
+    short = posts(sized.where(here("top" if wide else "own")), F.expr(f"slice(prefix, 1, n - cast(ceil({2 * NUM} * n / {NUM + DEN}) AS int) + 1)"))
     most = f"least(floor({DEN} * n / {NUM}), floor({NUM + DEN} * (n - i) / {NUM}) - n)"  # the largest size that may hold the overlap
-    short = short.withColumn("c", F.explode(F.expr(f"sequence({of('n')}, {of(most)})")))
-    return posts(F.col("prefix")).selectExpr(key(of("n")), "ord", packed, *_SIGNATURE), short.selectExpr(key("c"), "ord", packed, *_SIGNATURE)
+    short = short.withColumn("c", F.explode(F.expr(f"if(top = own, array(own), sequence(own, {of(most)}))"))).where(here("c"))
+    sides = [posts(sized.where(here("own")), F.col("prefix")).withColumn("token", F.expr(key("own"))), short.withColumn("token", F.expr(key("c")))]
+    return tuple(x.selectExpr("token", "ord", packed, *(c for c in _SIGNATURE if c in sized.columns)) for x in sides)
 
 
 def _other_pairs(firsts: DataFrame, nth: int) -> DataFrame:
@@ -149,7 +149,8 @@ def _other_pairs(firsts: DataFrame, nth: int) -> DataFrame:
     x, y = _side("x", True), _side("y", True)
     reaches = " AND ".join(f"{NUM + DEN} * ({t['n']} - {t['i']} + 1) >= {NUM} * ({x['n']} + {y['n']})" for t in (x, y))
     order = f"({y['n']} < {x['n']} OR {y['n']} = {x['n']} AND y.ord < x.ord) AND if(x.ord > y.ord, {x['open']}, {y['open']})"
-    met = long.alias("x").join(short.alias("y"), F.col("x.token") == F.col("y.token")).where(F.expr(f"{order} AND {reaches} AND {_alike(x, y)}"))
+    alike = _alike(x, y, [c for c in _SIGNATURE if c in long.columns])
+    met = long.alias("x").join(short.alias("y"), F.col("x.token") == F.col("y.token")).where(F.expr(f"{order} AND {reaches} AND {alike}"))
     return met.select(F.expr("greatest(x.ord, y.ord) AS later"), F.expr("least(x.ord, y.ord) AS earlier")).distinct()
 
 
@@ -171,7 +172,7 @@ def _verified(found: list[DataFrame], docs: DataFrame, text_col: str, lines: int
     picked = F.transform(F.array(F.split(text_col, "\n")), lambda all_: F.transform("places", lambda p: F.struct(p.alias("pos"), all_[p].alias("line"))))[0]  # splits a text once
     of = docs.join(asked, docs._num == asked.num).select("num", F.inline(picked))
     of = of.select(_ord(lines).alias("ord"), _trimmed(F.col("line")).alias("line"))
-    sets = publish(_hashes(of).select("ord", "h"), "line-sets")
+    sets = publish_hashes(_hashes(of).select("ord", "h"), "line-sets")
     x, y = sets.select(F.col("ord").alias("later"), F.col("h").alias("hx")), sets.select(F.col("ord").alias("earlier"), F.col("h").alias("hy"))
 
     def similar(some: DataFrame) -> DataFrame:
@@ -206,17 +207,17 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def removed_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(num, exact, near): places of the lines that each numbered document loses, as a copy and as similar to an earlier line."""
     rows = _hashes(line_rows(docs, text_col)).select("num", "pos", F.xxhash64("line").alias("lh"), "h")
-    told = publish(rows, "line-words", "lz4")  # hashes hardly shrink
+    told = publish_hashes(rows, "line-words")
     lines = (told.agg(F.max("pos")).first()[0] or 0) + 1
     hashed = told.select("lh", _ord(lines).alias("ord"))
     twice = hashed.groupBy("lh").agg(F.min("ord").alias("first"), F.count("*").alias("n")).where("n > 1").select("lh", "first")
     copies = publish(hashed.join(_small(publish(twice, "line-twice"), F.lit(2)), "lh").where("ord <> first").select("ord"), "line-copies")
     words, classes = told.select(_ord(lines).alias("ord"), "h"), word_classes(told)
     if _few(copies, F.lit(1)):
-        firsts = publish(prefixes(words.join(F.broadcast(copies), "ord", "left_anti"), classes), "line-firsts")
+        firsts = publish_hashes(prefixes(words.join(F.broadcast(copies), "ord", "left_anti"), classes), "line-firsts")
     else:  # a shuffle moves less of a line by its prefix
-        whole = publish(prefixes(words, classes), "line-prefixes")
-        firsts = publish(whole.join(copies, "ord", "left_anti"), "line-firsts")
+        whole = publish_hashes(prefixes(words, classes), "line-prefixes")
+        firsts = publish_hashes(whole.join(copies, "ord", "left_anti"), "line-firsts")
         discard(whole)
     discard(told)
 

@@ -154,6 +154,28 @@ def test_lines_of_unlike_sizes_do_not_meet(spark):
     assert line_dedup._other_pairs(firsts, 0).where("later = earlier").count() == 0
 
 
+def test_rounds_of_short_lines_carry_one_signature_word(spark):
+    sizes = [1, 2, 40, 79, 80, 81, 82, 83, 84, 100, 110, 180, 181, 400]
+    lines = spark.createDataFrame([(n, n, True, *(n >> 1 & 1, n & 1, 0, 0), list(range(4096, 4096 * (n - math.ceil(0.75 * n) + 2), 4096))) for n in sizes], "ord long, n int, open boolean, s0 long, s1 long, s2 long, s3 long, prefix array<long>")
+    met, words = {}, set()
+    for nth in range(line_dedup.ROUNDS):
+        long, short = line_dedup._postings(lines, nth)
+        words.add(sum(c in long.columns for c in line_dedup._SIGNATURE))
+        for r in long.select("token", F.col("ord").alias("a"), "s0").join(short.select("token", F.col("ord").alias("b")), "token").collect():
+            met.setdefault((r["a"], r["b"]), set()).add(nth // line_dedup.DEALT)
+            assert nth // line_dedup.DEALT or r["s0"] == (r["a"] >> 1 ^ r["a"]) & 1
+    assert words == {1, 4} and all(len(rounds) == 1 for rounds in met.values())  # a pair meets in rounds of one kind
+    assert {(a, b) for a in sizes for b in sizes if b <= a and 4 * b >= 3 * a} <= set(met)
+
+
+def test_hashed_words_of_odd_spaces(spark):
+    lines = ["a b", "a  b", "a   b a", "a\tb", "a \x0b b", "a\rb\x0ca", "a"]
+    rows = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = {r["line"]: sorted(r["h"]) for r in line_dedup._hashes(rows).collect()}
+    a, b = rows.select(F.xxhash64(F.lit("a")), F.xxhash64(F.lit("b"))).first()
+    assert got == {x: sorted({a} | ({b} if "b" in x else set())) for x in lines}
+
+
 def test_line_dedup_of_repeated_and_null_ids(spark):
     line, other = "one two three four five six", "seven eight nine ten eleven twelve"
     rows = [(None, line, 1), (None, line, 2), (7, other, 3), (7, f"{other}\n{line}", 4), (-(2**62), None, 5), (2**62, "\tseven\teight nine ten eleven twelve ", 6)]
